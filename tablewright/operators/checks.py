@@ -36,7 +36,7 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[object]) -> Dat
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child keys without a parent, one row per child row; a NULL key has no parent to miss."""
     keys = child.filter(F.col(quote(column)).isNotNull()).select(F.col(quote(column)).alias("from_field"))
-    known = parent.select(F.col(quote(field)).alias("from_field"))
+    known = parent.select(F.col(quote(field)).alias("from_field")).distinct()  # a hot parent key counts once
     return keys.join(known, "from_field", "left_anti")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.guards import required
 from tablewright.naming import quote
 
 
@@ -67,8 +68,7 @@ def enforce(df: DataFrame, checks: Sequence[Check], dropped: Observation | None
         df = df.filter(check.holds())
     for check in checks:
         if check.on_mismatch == "FAIL":
-            stop = F.raise_error(F.lit(f"constraint {check.label} violated: {check.expression}")).cast("boolean")
-            df = df.filter(F.when(check.holds(), F.lit(True)).otherwise(stop))
+            df = df.filter(required(check.holds(), f"constraint {check.label} violated: {check.expression}"))
     return df
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright import tables
+from tablewright.guards import required
 from tablewright.naming import TableRef, as_list, quote, resolve_columns
 from tablewright.sizes import fits_broadcast
 
@@ -74,30 +75,27 @@ def _split_predicates(
     return on_target, on_batch, on_both
 
 
-def _holds(tests: Sequence[str]) -> Column:
-    """NULL counts as not matched, as in any join condition."""
-    return F.coalesce(_all([F.expr(t) for t in tests]), F.lit(False))
-
-
-def _raise_unless(test: Column, message: str) -> Column:
-    return F.when(test, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
+def repeated_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys the batch has more than once, or None; it is an error if the target has one of them.
 
+    Looked at before anything is joined (key columns only, counted before the shuffle), because a
+    repeated key that is hot on both sides would otherwise multiply.
+    """
+    repeated = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*keys)
+    if repeated.isEmpty():
+        return None
+    if not repeated.join(target.select(*keys).distinct(), list(keys), "left_semi").isEmpty():
+        raise ValueError(DUPLICATE_MATCH)
+    return repeated
 
-def matched_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The batch keys present in the target, one row each; it fails where the batch repeats one.
 
-    Both sides are reduced to one row per key before they meet, so a hot key costs no more
-    than any other.  With a small batch the target's keys are only looked up, not shuffled.
-    """
-    known = _all([F.col(quote(k)).isNotNull() for k in keys])
-    per_key = batch.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
+def unmatched(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The batch rows whose key the target does not have.  The target is reduced to its keys; with a
+    small batch they are looked up in it first, so that only matching ones are shuffled."""
     present = target.select(*keys)
     if fits_broadcast(batch):
-        found = present.join(F.broadcast(per_key), list(keys), "inner")
-        found = found.groupBy(*keys).agg(F.max("__copies").alias("__copies"))
-    else:
-        found = present.distinct().join(per_key, list(keys), "inner")
-    return found.filter(_raise_unless(F.col("__copies") == 1, DUPLICATE_MATCH)).select(*keys)
+        present = present.join(F.broadcast(batch.select(*keys)), list(keys), "left_semi")
+    return batch.join(present.distinct(), list(keys), "left_anti").select(*batch.columns)
 
 
 def merge(
@@ -132,15 +130,27 @@ def merge(
 
     # Rows a one-sided condition already rules out go straight to the result, unshuffled.
     pieces = []
+    # NULL counts as not matched, as in any join condition.
     if on_target:
-        pieces.append(target.filter(~_holds(on_target)))
-        target = target.filter(_holds(on_target)).alias(dest)
+        test = _all([F.expr(t) for t in on_target])
+        pieces.append(target.filter(~F.coalesce(test, F.lit(False))))
+        target = target.filter(test).alias(dest)
     if on_batch:
-        pieces.append(batch.filter(~_holds(on_batch)))
-        batch = batch.filter(_holds(on_batch)).alias(src)
+        test = _all([F.expr(t) for t in on_batch])
+        pieces.append(batch.filter(~F.coalesce(test, F.lit(False))))
+        batch = batch.filter(test).alias(src)
 
-    key_test = _all([F.col(f"{dest}.{quote(k)}") == F.col(f"{src}.{quote(k)}") for k in keys])
-    match = key_test & _all([F.expr(t) for t in on_both])
+    # A NULL key matches nothing, and neither does a repeated one (see there).
+    known = _all([F.col(quote(k)).isNotNull() for k in keys])
+    pieces.append(batch.filter(~known))
+    batch = batch.filter(known).alias(src)
+    repeated = None if on_both else repeated_keys(target, batch, keys)
+    if repeated is not None:
+        pieces.append(batch.join(repeated, keys, "left_semi"))
+        batch = batch.join(repeated, keys, "left_anti").alias(src)
+
+    match = _all([F.col(f"{dest}.{quote(k)}") == F.col(f"{src}.{quote(k)}") for k in keys])
+    match = match & _all([F.expr(t) for t in on_both])
     hit = F.col(f"{src}.{quote(keys[0])}").isNotNull()
 
     def after_update(column: str) -> Column:
@@ -152,12 +162,11 @@ def merge(
 
     small = F.broadcast(batch) if fits_broadcast(batch) else batch
     kept = target.join(small, match, "left").select(*[after_update(c) for c in target.columns])
-
     if on_both:
         pieces += _added_by_content(target, batch, match, src)
     else:
-        pieces.append(batch.join(matched_keys(target, batch, keys), keys, "left_anti").select(*target.columns))
-    return reduce(DataFrame.unionByName, pieces, kept)
+        pieces.append(unmatched(target, batch, keys))
+    return reduce(DataFrame.unionByName, [p.select(*kept.columns) for p in pieces], kept)
 
 
 def _added_by_content(target: DataFrame, batch: DataFrame, match: Column, src: str) -> list[DataFrame]:
@@ -176,7 +185,7 @@ def _added_by_content(target: DataFrame, batch: DataFrame, match: Column, src: s
     pairs = target.withColumn("__row", F.monotonically_increasing_id()).join(small, match, "inner")
     twice = (
         pairs.groupBy("__row").agg(F.count(F.lit(1)).alias("__pairs"))
-        .filter(~_raise_unless(F.col("__pairs") == 1, DUPLICATE_MATCH))
+        .filter(~required(F.col("__pairs") == 1, DUPLICATE_MATCH))
         .select(*[F.lit(None).cast(target.schema[c].dataType).alias(c) for c in columns])
     )
     return [added, twice]

@@ -48,7 +48,7 @@ def table_stats(spark: SparkSession, ref: TableRef | str) -> dict[str, int]:
     """Bytes and rows of a stored table, computed by Spark and kept in the catalog."""
     ref = TableRef.parse(ref)
     spark.sql(f"ANALYZE TABLE {ref.sql} COMPUTE STATISTICS")
-    return parse_statistics(tables.describe(spark, ref).get("Statistics", ""))
+    return parse_statistics(tables.describe(spark, ref)[1].get("Statistics", ""))
 
 
 def parse_statistics(text: str) -> dict[str, int]:
@@ -71,7 +71,7 @@ def list_tables(spark: SparkSession, namespace: str) -> list[dict[str, str | Non
             continue
         ref = TableRef(t.name, namespace)
         kind = tables.table_kind(spark, ref)
-        fmt = tables.describe(spark, ref).get("Provider") if kind == "table" else None
+        fmt = tables.describe(spark, ref)[1].get("Provider") if kind == "table" else None
         found.append({"name": t.name, "type": kind, "format": fmt.lower() if fmt else None})
     return sorted(found, key=lambda t: t["name"])
 
@@ -82,7 +82,7 @@ def catalog(spark: SparkSession, namespace: str) -> DataFrame:
     for t in list_tables(spark, namespace):
         ref = TableRef(t["name"], namespace)
         comments = {c.name: c.description for c in spark.catalog.listColumns(ref.sql)}
-        owner = tables.describe(spark, ref).get("Owner")
+        owner = tables.describe(spark, ref)[1].get("Owner")
         about = F.create_map(*[x for n, d in comments.items() for x in (F.lit(n), F.lit(d).cast("string"))])
         parts.append(column_profile(spark.table(ref.sql), t["name"]).select(
             F.lit(namespace).alias("namespace"), "table_name", F.lit(t["type"]).alias("table_type"),

@@ -8,7 +8,7 @@ right side.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright import tables
+from tablewright.guards import required
 from tablewright.naming import TableRef, as_list, quote, resolve_columns
 from tablewright.operators.comparing import comparable, differ
 from tablewright.tables import Storage
@@ -83,16 +84,14 @@ def _checked_source(source: DataFrame, keys: list[str]) -> DataFrame:
     present = F.lit(True)
     for k in keys:
         present = present & F.col(quote(k)).isNotNull()
-    return source.filter(
-        F.when(present, F.lit(True)).otherwise(F.raise_error(F.lit("snapshot: NULL in unique_key")).cast("boolean")))
+    return source.filter(required(present, "snapshot: NULL in unique_key"))
 
 
 def _no_repeated_key(source: DataFrame, keys: list[str], like: DataFrame) -> DataFrame:
     """No rows; the job fails when a key occurs twice in the source (counted before the shuffle)."""
-    once = F.when(F.col("__copies") == 1, F.lit(False)).otherwise(
-        F.raise_error(F.lit("snapshot: unique_key is not unique in the source")).cast("boolean"))
+    once = required(F.col("__copies") == 1, "snapshot: unique_key is not unique in the source")
     return (
-        source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies")).filter(once)
+        source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies")).filter(~once)
         .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema])
     )
 
@@ -214,7 +213,8 @@ def snapshot_next(history: DataFrame, source: DataFrame, config: SnapshotConfig,
     return snapshot_step(history, source, config, now).all_rows()
 
 
-CLOSED_ON = "closed_on"
+CLOSED = "closed_in"
+_PERIOD_PROPERTY = "tablewright.closing_period"
 
 
 def snapshot(
@@ -223,57 +223,68 @@ def snapshot(
     config: SnapshotConfig,
     now: datetime | str,
     storage: Storage = Storage(),
-    by_closing_day: bool = False,
+    closing_period: str | None = None,
 ) -> DataFrame:
     """Run a snapshot into a stored table.
 
-    ``by_closing_day`` partitions the table by the day a version was closed (a column
-    ``closed_on``, NULL while open).  A run then rewrites the open versions and the days on
-    which versions were closed, and never reads or writes the rest of the history.
+    ``closing_period`` (``day``, ``month`` or ``year``, fixed by the first run) partitions the table by
+    the period in which a version was closed: a column ``closed_in`` with its first day, NULL while
+    open.  A run then rewrites the open versions and the periods in which it closes versions, and
+    never reads or writes the rest of the history.
     """
     ref = TableRef.parse(ref)
     spark = source.sparkSession
     if storage.fmt not in ("parquet", "delta"):
         raise ValueError(f"a snapshot cannot be stored as {storage.fmt!r}")
-    closing_day = F.when(~is_open(config), F.to_date(F.col(quote(config.columns.valid_to))))
+    if closing_period not in (None, "day", "month", "year"):
+        raise ValueError("closing_period must be day, month or year")
     kind = tables.table_kind(spark, ref)
     if kind is None:
         first = snapshot_init(source, config, now)
-        if by_closing_day:
-            first = first.withColumn(CLOSED_ON, closing_day)
-            storage = Storage(**{**storage.__dict__, "partition_by": [CLOSED_ON]})
+        if closing_period:
+            first = first.withColumn(CLOSED, _closed_in(config, closing_period))
+            storage = replace(storage, partition_by=[CLOSED],
+                              properties={**storage.properties, _PERIOD_PROPERTY: closing_period})
         return tables.write_table(first, ref, storage)
     tables.require_table(spark, ref)
     history = tables.fresh(spark, ref)
     validate_target(history, config)
     with tables.staged(source, ref) as stored:
-        if tables.partition_columns(spark, ref) != [CLOSED_ON]:
+        period = tables.properties(spark, ref).get(_PERIOD_PROPERTY)
+        if period is None:
             return tables.rewrite(snapshot_next(history, stored, config, now), ref)
-        return _snapshot_days(ref, history, stored, config, now, closing_day)
+        return _snapshot_periods(ref, history, stored, config, now, _closed_in(config, period))
 
 
-def _snapshot_days(ref: TableRef, history: DataFrame, source: DataFrame, config: SnapshotConfig,
-                   now: datetime | str, closing_day: Column) -> DataFrame:
+def _closed_in(config: SnapshotConfig, period: str) -> Column:
+    valid_to = F.col(quote(config.columns.valid_to))
+    return F.when(~is_open(config), F.date_trunc(period, valid_to).cast("date"))
+
+
+def _snapshot_periods(ref: TableRef, history: DataFrame, source: DataFrame, config: SnapshotConfig,
+                      now: datetime | str, closed_in: Column) -> DataFrame:
     spark = source.sparkSession
     new_columns = [f for f in source.schema if f.name.lower() not in {n.lower() for n in history.columns}]
     if new_columns:
         listed = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new_columns)
         spark.sql(f"ALTER TABLE {ref.sql} ADD COLUMNS ({listed})")
         history = spark.table(ref.sql)
-    # The open partition alone decides what changes.
-    current = history.filter(F.col(CLOSED_ON).isNull()).drop(CLOSED_ON)
+    # The open versions alone decide what changes.
+    current = history.filter(F.col(CLOSED).isNull()).drop(CLOSED)
     step = snapshot_step(current, source, config, now)
-    moved = step.was_open.unionByName(step.opened).withColumn(CLOSED_ON, closing_day)
+    moved = step.was_open.unionByName(step.opened).withColumn(CLOSED, closed_in)
     with tables.staged(moved, ref) as changed:
-        days = [(r[0],) for r in changed.select(CLOSED_ON).distinct().collect() if r[0] is not None]
+        # Partition values, which the catalog lists on the driver as well.
+        found = {r[0] for r in changed.select(CLOSED).distinct().collect()}
+        periods = sorted([(p,) for p in found if p is not None])
         result = changed
-        if days:
-            beside = history.filter(F.col(CLOSED_ON).isNotNull())
-            if len(days) <= tables.MAX_NAMED_PARTITIONS:
-                beside = beside.filter(tables.in_partitions([CLOSED_ON], days))
+        if periods:
+            beside = history.filter(F.col(CLOSED).isNotNull())
+            if len(periods) <= tables.MAX_NAMED_PARTITIONS:
+                beside = beside.filter(tables.in_partitions([CLOSED], periods))
             result = changed.unionByName(beside)
         table = tables.overwrite_partitions(result, ref)
-        if changed.filter(F.col(CLOSED_ON).isNull()).isEmpty():
-            tables.empty_partitions(spark, ref, [CLOSED_ON], [(None,)])
+        if found and None not in found:
+            tables.empty_partitions(spark, ref, [CLOSED], [(None,)])
             table = spark.table(ref.sql)
     return table

@@ -7,10 +7,12 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright import tables
+from tablewright.guards import required
 from tablewright.naming import TableRef, as_list, quote, resolve_columns
 from tablewright.operators.comparing import comparable, differ
 from tablewright.operators.constraints import Check, enforce
@@ -56,16 +58,23 @@ def require_table_sources(spark: SparkSession, refs: Sequence[TableRef | str]) -
 
 
 def change_feed(old: DataFrame, new: DataFrame, key: Sequence[str] | str) -> DataFrame:
-    """Row changes from one state to the next: ``insert``, ``delete`` and both images of an update."""
+    """Row changes from one state to the next: ``insert``, ``delete`` and both images of an update.
+
+    The key must be present and unique in each state; the job fails otherwise.  That is seen in the
+    partitioning and order the join needs anyway, before a repeated key could multiply.
+    """
     keys = resolve_columns(as_list(key), new.columns, "key")
     resolve_columns(new.columns, old.columns, "old state")
     columns = new.columns
     kinds = {f.name: f.dataType for f in new.schema}
-    a = old.select(*[F.col(quote(c)).cast(kinds[c]).alias(c) for c in columns], F.lit(True).alias("__in")).alias("a")
-    b = new.select("*", F.lit(True).alias("__in")).alias("b")
-    same_key = reduce(lambda x, y: x & y,
-                      [F.col(f"a.{quote(k)}").eqNullSafe(F.col(f"b.{quote(k)}")) for k in keys])
-    in_a, in_b = F.col("a.__in").isNotNull(), F.col("b.__in").isNotNull()
+    nth = F.row_number().over(W.partitionBy(*keys).orderBy(*keys))
+    present = reduce(lambda x, y: x & y, [F.col(quote(k)).isNotNull() for k in keys])
+    sound = required(present & (F.col("__nth") == 1), "change_feed: the key is not unique or NULL")
+    cast = [F.col(quote(c)).cast(kinds[c]).alias(c) for c in columns]
+    a = old.select(*cast).withColumn("__nth", nth).filter(sound).alias("a")
+    b = new.withColumn("__nth", nth).filter(sound).alias("b")
+    same_key = [F.col(f"a.{quote(k)}") == F.col(f"b.{quote(k)}") for k in keys]
+    in_a, in_b = F.col("a.__nth").isNotNull(), F.col("b.__nth").isNotNull()
     changed = differ([(comparable(F.col(f"a.{quote(c)}"), kinds[c]), comparable(F.col(f"b.{quote(c)}"), kinds[c]))
                       for c in columns if c not in keys])
 

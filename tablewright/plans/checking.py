@@ -53,7 +53,7 @@ def relationships(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def orders_without_lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
     return table(spark, sf, "orders").join(lines, "o_orderkey", "left_anti").select("o_orderkey", "o_custkey")
 
 

@@ -99,10 +99,11 @@ def by_timestamp(spark: SparkSession, sf: str) -> DataFrame:
     return run_twice(spark, source_before(spark, sf), source_after(spark, sf), TIMESTAMP)
 
 
-@query("snapshot_by_closing_day", f"select *, cast(scd_valid_to as date) as closed_on from ({history(NEWER)})")
-def by_closing_day(spark: SparkSession, sf: str) -> DataFrame:
-    """The same history, stored so that a run leaves old days alone."""
-    return run_twice(spark, source_before(spark, sf), source_after(spark, sf), TIMESTAMP, by_closing_day=True)
+@query("snapshot_by_period",
+       f"select *, cast(date_trunc('month', scd_valid_to) as date) as closed_in from ({history(NEWER)})")
+def by_period(spark: SparkSession, sf: str) -> DataFrame:
+    """The same history, stored so that a run leaves old months alone."""
+    return run_twice(spark, source_before(spark, sf), source_after(spark, sf), TIMESTAMP, closing_period="month")
 
 
 @query("snapshot_check_all", history(

@@ -142,13 +142,13 @@ def left_join_multi(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("rel_semi", "select * from customer where c_custkey in (select user_id from events)")
 def semi(spark: SparkSession, sf: str) -> DataFrame:
-    seen = table(spark, sf, "events").select(F.col("user_id").alias("c_custkey"))
+    seen = table(spark, sf, "events").select(F.col("user_id").alias("c_custkey")).distinct()
     return table(spark, sf, "customer").join(seen, "c_custkey", "left_semi")
 
 
 @query("rel_anti", "select * from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
 def anti(spark: SparkSession, sf: str) -> DataFrame:
-    buyers = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    buyers = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
     return table(spark, sf, "customer").join(buyers, "c_custkey", "left_anti")
 
 

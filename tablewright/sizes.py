@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+# Of compressed files; in memory a broadcast table is several times larger.
+BROADCAST_LIMIT = 16 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

@@ -64,16 +64,19 @@ def fresh(spark: SparkSession, ref: TableRef) -> DataFrame:
     return spark.table(ref.sql)
 
 
-def describe(spark: SparkSession, ref: TableRef) -> dict[str, str]:
-    """The detail section of the catalog's description of a table."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {ref.sql}").collect()
+def describe(spark: SparkSession, ref: TableRef) -> tuple[list[str], dict[str, str]]:
+    """Partition columns and the detail section of the catalog's description of a table."""
+    parts: list[str] = []
     details: dict[str, str] = {}
-    seen_header = False
-    for row in rows:
-        seen_header = seen_header or row.col_name == "# Detailed Table Information"
-        if seen_header and row.col_name and not row.col_name.startswith("#"):
+    section = ""
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {ref.sql}").collect():
+        if row.col_name.startswith("# "):
+            section = section if row.col_name == "# col_name" else row.col_name
+        elif row.col_name and section == "# Partition Information":
+            parts.append(row.col_name)
+        elif row.col_name and section:
             details[row.col_name] = row.data_type
-    return details
+    return parts, details
 
 
 def properties(spark: SparkSession, ref: TableRef) -> dict[str, str]:
@@ -82,28 +85,28 @@ def properties(spark: SparkSession, ref: TableRef) -> dict[str, str]:
 
 
 def location(spark: SparkSession, ref: TableRef) -> str:
-    return describe(spark, ref)["Location"]
+    return describe(spark, ref)[1]["Location"]
 
 
 def partition_columns(spark: SparkSession, ref: TableRef) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(ref.sql) if c.isPartition]
+    return describe(spark, ref)[0]
 
 
 def storage_of(spark: SparkSession, ref: TableRef) -> Storage:
     """The layout an existing table was created with, for a rewrite."""
-    details = describe(spark, ref)
-    columns = spark.catalog.listColumns(ref.sql)
-    buckets = details.get("Num Buckets")
-    has_buckets = buckets is not None and buckets.isdigit() and int(buckets) > 0
+    parts, details = describe(spark, ref)
+    buckets = details.get("Num Buckets", "")
+    buckets = int(buckets) if buckets.isdigit() else 0
+    clustered = [c.strip(" `") for c in details.get("Bucket Columns", "").strip("[]").split(",")]
     kept = {
         k: v for k, v in properties(spark, ref).items()
         if not k.startswith(("transient_", "spark.", "option.")) and k != SHARED_PROPERTY
     }
     return Storage(
         fmt=details.get("Provider", "parquet").lower(),
-        partition_by=[c.name for c in columns if c.isPartition],
-        clustered_by=[c.name for c in columns if c.isBucket] if has_buckets else None,
-        buckets=int(buckets) if has_buckets else None,
+        partition_by=parts or None,
+        clustered_by=clustered if buckets else None,
+        buckets=buckets or None,
         properties=kept,
         comment=details.get("Comment"),
     )
@@ -116,6 +119,12 @@ def _default_root(spark: SparkSession, ref: TableRef) -> str:
 # ---------------------------------------------------------------- writing
 
 
+def gathered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows brought together by partition before they are written, so that a task does not leave a
+    small file in every partition.  Adaptive execution splits a partition too big for one task."""
+    return df.hint("rebalance", *parts) if parts else df
+
+
 def _new_version(df: DataFrame, ref: TableRef, storage: Storage, tag: str = "") -> TableRef:
     """Write the rows to a fresh directory under a hidden catalog name."""
     spark = df.sparkSession
@@ -124,8 +133,8 @@ def _new_version(df: DataFrame, ref: TableRef, storage: Storage, tag: str = "")
     version = f"v{tag}_{uuid.uuid4().hex[:12]}"
     root = (storage.location_root or _default_root(spark, ref)).rstrip("/")
     staged = ref.sibling(f"{ref.name}__{version}")
-    writer = df.write.format(storage.fmt).options(**dict(storage.options))
     parts = resolve_columns(as_list(storage.partition_by), df.columns, "partition_by")
+    writer = gathered(df, parts).write.format(storage.fmt).options(**dict(storage.options))
     if parts:
         writer = writer.partitionBy(*parts)
     clustered = resolve_columns(as_list(storage.clustered_by), df.columns, "clustered_by")
@@ -135,19 +144,21 @@ def _new_version(df: DataFrame, ref: TableRef, storage: Storage, tag: str = "")
     return staged
 
 
-def _same_shape(spark: SparkSession, a: TableRef, b: TableRef) -> bool:
-    ours, theirs = storage_of(spark, a), storage_of(spark, b)
-    layout = lambda s: (s.fmt, s.partition_by, s.clustered_by, s.buckets)
+def _swaps_in(spark: SparkSession, staged: TableRef, ref: TableRef, storage: Storage) -> bool:
+    """Whether the table can simply be pointed at the new files: same layout, same columns.
+
+    A partitioned table cannot: the catalog lists its partitions one by one.
+    """
+    have = storage_of(spark, ref)
+    layout = lambda s: (s.fmt, as_list(s.partition_by), as_list(s.clustered_by) if s.buckets else [], s.buckets)
     fields = lambda r: [(f.name, f.dataType) for f in spark.table(r.sql).schema]
-    return layout(ours) == layout(theirs) and fields(a) == fields(b)
+    return not as_list(storage.partition_by) and layout(have) == layout(storage) and fields(ref) == fields(staged)
 
 
-def _publish(spark: SparkSession, staged: TableRef, ref: TableRef) -> None:
+def _publish(spark: SparkSession, staged: TableRef, ref: TableRef, storage: Storage) -> None:
     """Point the table at the staged version; a table of another shape is replaced."""
-    kind = table_kind(spark, ref)
-    if kind == "table" and not partition_columns(spark, ref) and _same_shape(spark, ref, staged):
-        new_home = location(spark, staged)
-        spark.sql(f"ALTER TABLE {ref.sql} SET LOCATION '{new_home}'")
+    if table_kind(spark, ref) == "table" and _swaps_in(spark, staged, ref, storage):
+        spark.sql(f"ALTER TABLE {ref.sql} SET LOCATION '{location(spark, staged)}'")
         if properties(spark, ref).get(SHARED_PROPERTY) == "true":
             spark.sql(f"ALTER TABLE {ref.sql} UNSET TBLPROPERTIES ('{SHARED_PROPERTY}')")
         spark.sql(f"DROP TABLE {staged.sql}")  # external: the files stay
@@ -172,10 +183,7 @@ def write_table(df: DataFrame, ref: TableRef | str, storage: Storage = Storage()
     ref = TableRef.parse(ref)
     spark = df.sparkSession
     staged = _new_version(df, ref, storage, tag)
-    set_properties(spark, staged, storage.properties)
-    if storage.comment:
-        spark.sql(f"COMMENT ON TABLE {staged.sql} IS {sql_text(storage.comment)}")
-    _publish(spark, staged, ref)
+    _publish(spark, staged, ref, storage)
     set_properties(spark, ref, storage.properties)
     if storage.comment:
         spark.sql(f"COMMENT ON TABLE {ref.sql} IS {sql_text(storage.comment)}")
@@ -269,7 +277,7 @@ def append_rows(df: DataFrame, ref: TableRef) -> DataFrame:
     """Add rows in place, by the table's column list."""
     spark = df.sparkSession
     own_files(spark, ref)
-    by_target(df, spark.table(ref.sql)).write.insertInto(ref.sql)
+    gathered(by_target(df, spark.table(ref.sql)), partition_columns(spark, ref)).write.insertInto(ref.sql)
     spark.catalog.refreshTable(ref.sql)
     return spark.table(ref.sql)
 
@@ -300,7 +308,7 @@ def overwrite_partitions(df: DataFrame, ref: TableRef) -> DataFrame:
     """Replace exactly the partitions that ``df`` has rows for; ``df`` may read the table."""
     spark = df.sparkSession
     own_files(spark, ref)
-    rows = by_target(df, spark.table(ref.sql))
+    rows = gathered(by_target(df, spark.table(ref.sql)), partition_columns(spark, ref))
     with _dynamic_overwrite(spark):
         rows.write.mode("overwrite").insertInto(ref.sql)
     spark.catalog.refreshTable(ref.sql)
