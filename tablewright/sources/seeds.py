@@ -20,26 +20,27 @@ def read_seed(
     path: str,
     column_types: Mapping[str, str] | None = None,
     delimiter: str = ",",
+    multi_line: bool = False,
 ) -> DataFrame:
     """The rows of a CSV file with a header, read by the executors.
 
     Types are inferred (whole numbers as bigint) except where ``column_types`` names one; such a
-    column is read as text first, so that nothing is lost before its cast.  A missing value is NULL.
+    column is read as text first, so that nothing is lost before its cast.  A missing value is NULL,
+    a doubled quote inside quotes is a quote.  ``multi_line`` allows line breaks inside quotes, at
+    the price that a file is read by one task.
     """
-    reader = spark.read.option("header", True).option("sep", delimiter).option("multiLine", False)
-    text = reader.csv(path)
-    types = dict(zip(resolve_columns(list(column_types or {}), text.columns, "column_types"),
-                     (column_types or {}).values()))
-    inferred = {f.name: f.dataType for f in reader.option("inferSchema", True).csv(path).schema} \
-        if len(types) < len(text.columns) else {}
-
-    # One read with a fixed schema: text for the declared columns, the inferred type for the others.
-    schema = T.StructType([
-        T.StructField(c, T.StringType() if c in types else inferred[c]) for c in text.columns])
-    rows = spark.read.option("header", True).option("sep", delimiter).schema(schema).csv(path)
+    options = {"header": "true", "sep": delimiter, "quote": '"', "escape": '"', "multiLine": str(multi_line).lower()}
+    names = spark.read.options(**options).csv(path).columns
+    declared = column_types or {}
+    types = dict(zip(resolve_columns(list(declared), names, "column_types"), declared.values()))
+    inferred: dict[str, T.DataType] = {}
+    if len(types) < len(names):
+        inferred = {f.name: f.dataType for f in spark.read.options(**options, inferSchema="true").csv(path).schema}
+    schema = T.StructType([T.StructField(c, T.StringType() if c in types else inferred[c]) for c in names])
+    rows = spark.read.options(**options).schema(schema).csv(path)
     return rows.select(*[
         F.col(quote(c)).cast(types.get(c) or _WIDENED.get(schema[c].dataType) or schema[c].dataType).alias(c)
-        for c in text.columns])
+        for c in names])
 
 
 def seed(
@@ -48,15 +49,17 @@ def seed(
     ref: TableRef | str,
     column_types: Mapping[str, str] | None = None,
     delimiter: str = ",",
+    multi_line: bool = False,
     storage: Storage = Storage(),
     full_refresh: bool = True,
 ) -> DataFrame:
     """Load a CSV file as a table, replacing a table or view of that name.
 
-    Without ``full_refresh`` an existing table keeps its columns and gets the file's rows.
+    Without ``full_refresh`` an existing table keeps its columns and types and gets the file's rows.
     """
     ref = TableRef.parse(ref)
-    rows = read_seed(spark, path, column_types, delimiter)
     if not full_refresh and tables.table_kind(spark, ref) == "table":
-        return tables.rewrite(tables.by_target(rows, spark.table(ref.sql)), ref)
-    return tables.write_table(rows, ref, storage)
+        target = tables.fresh(spark, ref)
+        kinds = {f.name: f.dataType.simpleString() for f in target.schema}
+        return tables.rewrite(tables.by_target(read_seed(spark, path, kinds, delimiter, multi_line), target), ref)
+    return tables.write_table(read_seed(spark, path, column_types, delimiter, multi_line), ref, storage)

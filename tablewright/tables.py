@@ -283,9 +283,9 @@ def append_rows(df: DataFrame, ref: TableRef) -> DataFrame:
 
 
 def by_target(df: DataFrame, target: DataFrame) -> DataFrame:
-    """The columns of ``df`` the target has, in its order; a missing one is an error."""
-    return df.select(*[F.col(quote(c)).alias(t) for c, t in zip(
-        resolve_columns(target.columns, df.columns, "batch"), target.columns)])
+    """The columns of ``df`` the target has, in its order and types; a missing one is an error."""
+    found = resolve_columns(target.columns, df.columns, "batch")
+    return df.select(*[F.col(quote(c)).cast(f.dataType).alias(f.name) for c, f in zip(found, target.schema)])
 
 
 _overwrite_mode = threading.Lock()

@@ -157,6 +157,18 @@ def test_extra_batch_columns_are_left_out_and_missing_ones_refused(spark, ns):
         inc.append(ref, spark.createDataFrame([(1,)], "id bigint"))
 
 
+@pytest.mark.parametrize("write", [
+    inc.append, inc.insert_overwrite, lambda ref, batch: merge_into(ref, batch, "id"),
+    lambda ref, batch: inc.replace_partitions(ref, batch, "id"),
+])
+def test_the_table_keeps_its_types(spark, ns, write):
+    ref = TableRef("typed", ns)
+    tables.write_table(made(spark, FIRST), ref)
+    batch = spark.createDataFrame([("5", 2)], "msg string, id int")
+    assert write(ref, batch).dtypes == [("id", "bigint"), ("msg", "string")]
+    assert (2, "5") in rows(spark.table(ref.sql))
+
+
 def test_partition_move_clears_the_old_partition(spark, ns):
     ref = TableRef("moving", ns)
     tables.write_table(made(spark, [(1, "a"), (2, "a"), (3, "b"), (4, "c")]), ref, Storage(partition_by="msg"))
