@@ -35,9 +35,20 @@ def split_part(text: Column, delimiter: str, number: int) -> Column:
     return F.try_element_at(F.split(text, re.escape(delimiter)), F.lit(number if number else 1))
 
 
+_WHOLE_NUMBERS = {"bigint", "int", "integer", "long", "smallint", "short", "tinyint", "byte"}
+
+
 def safe_cast(value: object, kind: str) -> Column:
-    """NULL where the value does not convert."""
-    return _column(value).try_cast(kind)
+    """NULL where the value does not convert.
+
+    Each text that fails to become a number costs an exception inside Spark, so one with a letter in
+    it, which cannot be a whole number, is not tried.
+    """
+    value = _column(value)
+    if kind.lower() not in _WHOLE_NUMBERS:
+        return value.try_cast(kind)
+    hopeless = (F.typeof(value) == "string") & value.cast("string").rlike("[A-Za-z]")
+    return F.when(hopeless, None).otherwise(value.try_cast(kind))
 
 
 def cast(value: object, kind: str) -> Column:

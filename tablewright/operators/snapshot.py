@@ -8,6 +8,7 @@ right side.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, replace
 from datetime import datetime
 
@@ -224,9 +225,13 @@ def snapshot(
     now: datetime | str,
     storage: Storage = Storage(),
     closing_period: str | None = None,
+    stage: bool = True,
 ) -> DataFrame:
     """Run a snapshot into a stored table.
 
+    The source is read several times, so it is stored beside the table first; ``stage=False`` spares
+    that where reading it again is cheap and gives the same rows, as with a filtered scan of files.
+
     ``closing_period`` (``day``, ``month`` or ``year``, fixed by the first run) partitions the table by
     the period in which a version was closed: a column ``closed_in`` with its first day, NULL while
     open.  A run then rewrites the open versions and the periods in which it closes versions, and
@@ -249,7 +254,7 @@ def snapshot(
     tables.require_table(spark, ref)
     history = tables.fresh(spark, ref)
     validate_target(history, config)
-    with tables.staged(source, ref) as stored:
+    with tables.staged(source, ref) if stage else nullcontext(source) as stored:
         period = tables.properties(spark, ref).get(_PERIOD_PROPERTY)
         if period is None:
             return tables.rewrite(snapshot_next(history, stored, config, now), ref)

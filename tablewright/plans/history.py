@@ -81,7 +81,7 @@ def run_twice(spark: SparkSession, before: DataFrame, after: DataFrame, config:
               **options: object) -> DataFrame:
     ref = TableRef("orders_history", scratch_namespace(spark, "history"))
     snapshot(before, ref, config, T0, **options)
-    return snapshot(after, ref, config, T1, **options)
+    return snapshot(after, ref, config, T1, stage=False, **options)  # both sources are plain scans
 
 
 @query("snapshot_initial", f"""

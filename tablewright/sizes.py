@@ -7,15 +7,32 @@ from pyspark.sql import DataFrame
 # Of compressed files; in memory a broadcast table is several times larger.
 BROADCAST_LIMIT = 16 * 1024 * 1024
 
+# Plans of these nodes hold no more rows than their files do.
+_NOT_GROWING = {
+    "Aggregate", "Distinct", "Filter", "GlobalLimit", "LocalLimit", "LocalRelation", "LogicalRelation", "OneRowRelation",
+    "Project", "Range", "RebalancePartitions", "Repartition", "RepartitionByExpression", "Sort", "SubqueryAlias",
+    "Union", "Window",
+}
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan; for a stored batch it comes from its files."""
+
+def _only_shrinks(plan) -> bool:
+    children = plan.children()
+    return plan.nodeName() in _NOT_GROWING and all(_only_shrinks(children.apply(i)) for i in range(children.size()))
+
+
+def proven_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size of a plan, which for stored rows comes from their files.
+
+    None where that is a guess: behind a join or an explode, or without a JVM to ask.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:  # no JVM behind this session
+        plan = df._jdf.queryExecution().optimizedPlan()
+    except AttributeError:
         return None
+    return int(str(plan.stats().sizeInBytes())) if _only_shrinks(plan) else None
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    size = estimated_bytes(df)
+    """Whether to ask for a broadcast.  Otherwise adaptive execution decides, from measured sizes."""
+    size = proven_bytes(df)
     return size is not None and size <= limit

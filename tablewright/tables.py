@@ -130,6 +130,8 @@ def _new_version(df: DataFrame, ref: TableRef, storage: Storage, tag: str = "")
     spark = df.sparkSession
     if storage.fmt not in FORMATS:
         raise ValueError(f"unknown file format {storage.fmt!r}; use one of {', '.join(FORMATS)}")
+    if storage.fmt == "delta":
+        raise NotImplementedError("Delta tables need Delta Lake's own commits; store the table as parquet")
     version = f"v{tag}_{uuid.uuid4().hex[:12]}"
     root = (storage.location_root or _default_root(spark, ref)).rstrip("/")
     staged = ref.sibling(f"{ref.name}__{version}")

@@ -47,7 +47,10 @@ def test_text_and_types(spark):
     assert value(spark, fn.length(F.lit("héé"))) == 3
     assert value(spark, fn.hash_text(F.lit("ab"))) == "187ef4436122d1cc2f40dc2b92f0eba0"
     assert value(spark, fn.bool_to_text(F.lit(True))) == "true"
-    assert [value(spark, fn.safe_cast(x, "int")) for x in ("12", "x", null)] == [12, None, None]
+    tried = ("12", " 7 ", "x", "1e3", "-", "3.9", "", True, 2.5e9, null)
+    assert [value(spark, fn.safe_cast(x, "int")) for x in tried] == [
+        value(spark, (x if x is null else F.lit(x)).try_cast("int")) for x in tried]
+    assert [value(spark, fn.safe_cast(x, "int")) for x in ("12", "x", True, null)] == [12, None, 1, None]
     assert value(spark, fn.safe_cast(F.array(F.lit(1), F.lit(2)), "array<string>")) == ["1", "2"]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         value(spark, fn.cast("x", "int"))

@@ -8,6 +8,7 @@ from tablewright import Storage, TableRef, tables
 from tablewright.operators import profile
 from tablewright.operators.schema_change import SchemaChanged, evolve, widen_column
 from tablewright.operators import incremental as inc
+from tablewright.sources.files import find_table, source
 from tablewright.sources.seeds import read_seed, seed
 from tablewright.workspace import shared_root
 
@@ -210,9 +211,10 @@ def test_catalog_operators(spark, ns, data):
     assert profile.list_tables(spark, ns) == [
         {"name": "ids", "type": "view", "format": None}, {"name": "people", "type": "table", "format": "parquet"}]
     assert profile.list_tables(spark, "no_such_namespace") == []
+    assert source(spark, ns, "people").count() == 3
     assert profile.table_stats(spark, ref)["rows"] == 3
-    assert profile.find_table(spark, "people").name == "people"
-    assert profile.find_table(spark, "no_such_table") is None
+    assert find_table(spark, "people").name == "people"
+    assert find_table(spark, "no_such_table") is None
     profile.persist_docs(spark, ref, "it's -- /* a */ $1 \"table\"", {"ID": "the 'key' \\ $$"})
     described = profile.catalog(spark, ns)
     assert rows(described, "table_name", "column_name", "comment", "row_count", "non_null") == sorted([
