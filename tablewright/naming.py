@@ -10,6 +10,11 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_text(value: str) -> str:
+    """A text literal of Spark SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class TableRef:
     """``catalog.namespace.name``; the catalog may be left to the session."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright import tables
-from tablewright.naming import TableRef, quote, resolve_columns
+from tablewright.naming import TableRef, quote, resolve_columns, sql_text
 
 
 def columns_in(spark: SparkSession, ref: TableRef | str) -> list[tuple[str, str]]:
@@ -105,13 +105,13 @@ def persist_docs(
     known = spark.table(ref.sql).columns
     names = resolve_columns(list(columns or {}), known, "persist_docs")
     if description is not None:
-        spark.sql(f"COMMENT ON TABLE {ref.sql} IS {tables.sql_text(description)}")
+        spark.sql(f"COMMENT ON TABLE {ref.sql} IS {sql_text(description)}")
     for name, text in zip(names, (columns or {}).values()):
-        spark.sql(f"ALTER TABLE {ref.sql} CHANGE COLUMN {quote(name)} COMMENT {tables.sql_text(text)}")
+        spark.sql(f"ALTER TABLE {ref.sql} CHANGE COLUMN {quote(name)} COMMENT {sql_text(text)}")
 
 
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
-    where = f" LOCATION {tables.sql_text(location)}" if location else ""
+    where = f" LOCATION {sql_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(namespace)}{where}")
 
 

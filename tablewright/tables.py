@@ -18,7 +18,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.naming import TableRef, as_list, quote, resolve_columns
+from tablewright.naming import TableRef, as_list, quote, resolve_columns, sql_text
 
 SHARED_PROPERTY = "tablewright.shared_location"
 FORMATS = ("csv", "parquet", "delta")
@@ -160,7 +160,7 @@ def _swaps_in(spark: SparkSession, staged: TableRef, ref: TableRef, storage: Sto
 def _publish(spark: SparkSession, staged: TableRef, ref: TableRef, storage: Storage) -> None:
     """Point the table at the staged version; a table of another shape is replaced."""
     if table_kind(spark, ref) == "table" and _swaps_in(spark, staged, ref, storage):
-        spark.sql(f"ALTER TABLE {ref.sql} SET LOCATION '{location(spark, staged)}'")
+        spark.sql(f"ALTER TABLE {ref.sql} SET LOCATION {sql_text(location(spark, staged))}")
         if properties(spark, ref).get(SHARED_PROPERTY) == "true":
             spark.sql(f"ALTER TABLE {ref.sql} UNSET TBLPROPERTIES ('{SHARED_PROPERTY}')")
         spark.sql(f"DROP TABLE {staged.sql}")  # external: the files stay
@@ -170,10 +170,6 @@ def _publish(spark: SparkSession, staged: TableRef, ref: TableRef, storage: Stor
     spark.catalog.refreshTable(ref.sql)
 
 
-def sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def set_properties(spark: SparkSession, ref: TableRef, values: Mapping[str, str]) -> None:
     if values:
         body = ", ".join(f"{sql_text(k)} = {sql_text(str(v))}" for k, v in values.items())
@@ -261,7 +257,7 @@ def clone(spark: SparkSession, src: TableRef | str, dst: TableRef | str, full_re
         return materialize_view(spark, f"SELECT * FROM {src.sql}", dst)
     require_table(spark, src)
     drop(spark, dst)
-    spark.sql(f"CREATE TABLE {dst.sql} LIKE {src.sql} LOCATION '{location(spark, src)}'")
+    spark.sql(f"CREATE TABLE {dst.sql} LIKE {src.sql} LOCATION {sql_text(location(spark, src))}")
     if partition_columns(spark, dst):
         spark.sql(f"MSCK REPAIR TABLE {dst.sql}")
     for ref in (src, dst):
@@ -393,6 +389,14 @@ def update_where(spark: SparkSession, ref: TableRef | str, condition: Column,
     names = resolve_columns(list(values), df.columns, "update")
     new = dict(zip(names, values.values()))
     hit = F.coalesce(condition, F.lit(False))
-    return rewrite(df.select(*[
+    parts = partition_columns(spark, ref)
+    in_place = bool(parts) and not set(parts) & set(names)
+    if in_place:
+        # Only the partitions with such rows are rewritten; the catalog lists their values on the driver too.
+        touched = [tuple(r) for r in df.filter(hit).select(*parts).distinct().collect()]
+        if len(touched) <= MAX_NAMED_PARTITIONS:
+            df = df.filter(in_partitions(parts, touched))
+    changed = df.select(*[
         F.when(hit, new[f.name].cast(f.dataType)).otherwise(F.col(quote(f.name))).alias(f.name)
-        if f.name in new else F.col(quote(f.name)) for f in df.schema]), ref)
+        if f.name in new else F.col(quote(f.name)) for f in df.schema])
+    return overwrite_partitions(changed, ref) if in_place else rewrite(changed, ref)

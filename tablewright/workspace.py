@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from tablewright.naming import quote
+from tablewright.naming import quote, sql_text
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -38,5 +38,5 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def scratch_namespace(spark: SparkSession, label: str) -> str:
     """A new, empty namespace stored below the shared folder."""
     name = f"tw_{label}_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {quote(name)} LOCATION '{shared_root(spark)}/tablewright/{name}'")
+    spark.sql(f"CREATE DATABASE {quote(name)} LOCATION {sql_text(f'{shared_root(spark)}/tablewright/{name}')}")
     return name

@@ -108,6 +108,14 @@ def test_update_where(spark, ns, data):
     tables.write_table(data, ref)
     changed = tables.update_where(spark, ref, F.col("name") == "a", {"ID": F.col("id") * 100})
     assert rows(changed) == [(100, "a"), (2, "b"), (300, "a")]
+    for hit, expected in (("a", [(2, "b"), (7, "a"), (7, "a")]), ("z", [(2, "b"), (7, "a"), (7, "a")])):
+        part = ref.sibling("upd_part")
+        if hit == "a":
+            tables.write_table(data, part, Storage(partition_by="name"))
+        got = tables.update_where(spark, part, F.col("name") == hit, {"id": F.lit(7)})
+        assert rows(got, "id", "name") == expected
+    moved = tables.update_where(spark, part, F.col("id") == 7, {"name": F.lit("b")})
+    assert rows(moved, "id", "name") == [(2, "b"), (7, "b"), (7, "b")]
 
 
 def test_show(data):
