@@ -48,7 +48,7 @@ def listagg_rows(
     No task sorts or collects the rows of a whole group.  Rows are range-partitioned by group and
     order, so a hot group is spread over many tasks; each task joins its own stretch to one text,
     and only those few texts per group meet in the last step.  ``distinct`` removes copies before
-    that; ``limit`` keeps the first rows per group, discarding the others before the shuffle.
+    that.  With ``limit`` only the first rows of a group are shuffled to it, and joined at once.
 
     The result is one text per group, so a single result must fit Spark's cell size (2 GB).
     """
@@ -62,16 +62,33 @@ def listagg_rows(
         rows = rows.distinct()
     sequence = list(dict.fromkeys([*order, value]))
     if limit is not None:
-        rank = F.row_number().over(W.partitionBy(*groups).orderBy(*sequence))
-        rows = rows.withColumn("__rank", rank).filter(F.col("__rank") <= limit).drop("__rank")
+        return _first_rows(rows, groups, sequence, limit).groupBy(*groups).agg(
+            _joined(sequence, value, delimiter).alias(output))
     # Equal rows may fall on both sides of a boundary; being equal, their order does not matter.
     spread = rows.repartitionByRange(*groups, *sequence).withColumn("__stretch", F.spark_partition_id())
-    entry = F.struct(*[F.col(quote(c)) for c in sequence])
-    stretches = spread.groupBy(*groups, "__stretch").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(entry)), lambda e: e.getField(value).cast("string")), delimiter,
-        ).alias("__text"))
-    whole = F.array_sort(F.collect_list(F.struct("__stretch", "__text")))
-    joined = stretches.groupBy(*groups).agg(
-        F.array_join(F.transform(whole, lambda e: e.getField("__text")), delimiter).alias(output))
-    return joined
+    stretches = spread.groupBy(*groups, "__stretch").agg(_joined(sequence, value, delimiter).alias("__text"))
+    return stretches.groupBy(*groups).agg(_joined(["__stretch", "__text"], "__text", delimiter).alias(output))
+
+
+def _joined(sequence: Sequence[str], value: str, delimiter: str) -> Column:
+    """The collected values in order, as one text."""
+    entries = F.array_sort(F.collect_list(F.struct(*[F.col(quote(c)) for c in sequence])))
+    return F.array_join(F.transform(entries, lambda e: e.getField(value).cast("string")), delimiter)
+
+
+# Up to here Spark itself drops rows beyond the rank before the shuffle.
+_RANKED_BEFORE_SHUFFLE = 1000
+_SHARES = 64
+
+
+def _first_rows(rows: DataFrame, groups: Sequence[str], sequence: Sequence[str], limit: int) -> DataFrame:
+    """The first ``limit`` rows of each group.  A long list is found in two steps: first within
+    shares of a group, so that no task ranks all rows of a hot one."""
+    def ranked(df: DataFrame, *keys: str) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy(*keys).orderBy(*sequence))
+        return df.withColumn("__rank", rank).filter(F.col("__rank") <= limit).drop("__rank")
+
+    if limit > _RANKED_BEFORE_SHUFFLE:
+        share = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in sequence]), F.lit(_SHARES))
+        rows = ranked(rows.withColumn("__share", share), *groups, "__share").drop("__share")
+    return ranked(rows, *groups)

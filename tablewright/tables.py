@@ -102,11 +102,14 @@ def storage_of(spark: SparkSession, ref: TableRef) -> Storage:
         k: v for k, v in properties(spark, ref).items()
         if not k.startswith(("transient_", "spark.", "option.")) and k != SHARED_PROPERTY
     }
+    stored = details.get("Storage Properties", "").strip("[]")
+    options = dict(o.split("=", 1) for o in stored.split(", ") if "=" in o)
     return Storage(
         fmt=details.get("Provider", "parquet").lower(),
         partition_by=parts or None,
         clustered_by=clustered if buckets else None,
         buckets=buckets or None,
+        options={k: v for k, v in options.items() if k not in ("path", "serialization.format")},
         properties=kept,
         comment=details.get("Comment"),
     )
@@ -189,11 +192,16 @@ def write_table(df: DataFrame, ref: TableRef | str, storage: Storage = Storage()
 
 
 def rewrite(df: DataFrame, ref: TableRef, tag: str = "") -> DataFrame:
-    """Replace a table's rows, keeping its layout, properties and comment.
+    """Replace a table's rows, keeping its layout, options, properties and comments.
 
     ``df`` may read the table itself: the new version is a directory of its own.
     """
-    return write_table(df, ref, storage_of(df.sparkSession, ref), tag)
+    spark = df.sparkSession
+    about = {f.name.lower(): f.metadata for f in spark.table(ref.sql).schema if f.metadata}
+    documented = df.select(*[
+        F.col(quote(c)).alias(c, metadata=about[c.lower()]) if c.lower() in about else F.col(quote(c))
+        for c in df.columns])
+    return write_table(documented, ref, storage_of(spark, ref), tag)
 
 
 def materialize_table(

@@ -156,6 +156,10 @@ def test_listagg_of_a_hot_group(spark):
         expected[r.g].append((r.o, r.v))
     got = dict(rows(fn.listagg_rows(df, "g", "v", "l", ",", order_by="o"), "g", "l"))
     assert got == {g: ",".join(str(v) for _, v in sorted(vs)) for g, vs in expected.items()}
+    for limit in (2, 1500):
+        first = dict(rows(fn.listagg_rows(df, "g", "v", "l", ",", order_by="o", limit=limit), "g", "l"))
+        assert first == {g: ",".join(str(v) for _, v in sorted(vs)[:limit]) for g, vs in expected.items()}
+    assert "WindowGroupLimit" in fn.listagg_rows(df, "g", "v", "l", limit=2)._jdf.queryExecution().toString()
     # The hot group's rows were spread over several tasks before they were joined.
     plan = fn.listagg_rows(df, "g", "v", "l", ",", order_by="o")._jdf.queryExecution().toString()
     assert "rangepartitioning(g" in plan

@@ -123,6 +123,17 @@ def test_one_batch_row_may_update_many(spark):
     assert rows(merge(target, made(spark, [(1, "z")]), "id")) == [(1, "z"), (1, "z"), (2, "c")]
 
 
+def test_batch_derived_from_its_target(spark, request):
+    for way in ("broadcast", "shuffled"):
+        if way == "shuffled":
+            request.getfixturevalue("shuffled")
+        target = made(spark, FIRST + [(None, "n")])
+        batch = target.filter("id = 2 or id is null").withColumn("msg", F.lit("again"))
+        for predicates in (None, "target.msg <> source.msg"):
+            assert rows(merge(target, batch, "id", predicates=predicates)) == sorted(
+                [(1, "hello"), (2, "again"), (None, "n"), (None, "again")], key=repr)
+
+
 def test_null_keys_are_added(spark):
     target = made(spark, [(None, "a"), (1, "b")])
     result = merge(target, made(spark, [(None, "x"), (None, "y")]), "id")

@@ -50,14 +50,17 @@ def test_csv_table(spark, ns, data):
 
 
 def test_rewrite_reads_its_own_table_and_keeps_the_layout(spark, ns, data):
-    for layout in (Storage(properties={"k": "v"}, comment="c"), Storage(partition_by="name"),
-                   Storage(clustered_by="id", buckets=2)):
+    for layout in (Storage(properties={"k": "v"}, comment="c", options={"compression": "gzip"}),
+                   Storage(partition_by="name"), Storage(clustered_by="id", buckets=2)):
         ref = TableRef("own", ns)
         own = tables.write_table(data, ref, layout)
+        assert dict(tables.storage_of(spark, ref).options) == dict(layout.options)
+        profile.persist_docs(spark, ref, columns={"id": "the key"})
         before = tables.storage_of(spark, ref)
         tables.rewrite(own.withColumn("id", F.col("id") + 10), ref)
         assert rows(spark.table(ref.sql), "id") == [(11,), (12,), (13,)]
         assert tables.storage_of(spark, ref) == before
+        assert {c.name: c.description for c in spark.catalog.listColumns(ref.sql)} == {"id": "the key", "name": None}
 
 
 def test_a_failed_build_leaves_the_table(spark, ns, data):
