@@ -278,18 +278,17 @@ def _snapshot_periods(ref: TableRef, history: DataFrame, source: DataFrame, conf
     current = history.filter(F.col(CLOSED).isNull()).drop(CLOSED)
     step = snapshot_step(current, source, config, now)
     moved = step.was_open.unionByName(step.opened).withColumn(CLOSED, closed_in)
-    with tables.staged(moved, ref) as changed:
-        # Partition values, which the catalog lists on the driver as well.
-        found = {r[0] for r in changed.select(CLOSED).distinct().collect()}
-        periods = sorted([(p,) for p in found if p is not None])
-        result = changed
-        if periods:
-            beside = history.filter(F.col(CLOSED).isNotNull())
-            if len(periods) <= tables.MAX_NAMED_PARTITIONS:
-                beside = beside.filter(tables.in_partitions([CLOSED], periods))
-            result = changed.unionByName(beside)
-        table = tables.overwrite_partitions(result, ref)
-        if found and None not in found:
-            tables.empty_partitions(spark, ref, [CLOSED], [(None,)])
-            table = spark.table(ref.sql)
+    # Partition values, which the catalog lists on the driver as well; this reads compared columns only.
+    found = {r[0] for r in moved.select(CLOSED).distinct().collect()}
+    periods = sorted([(p,) for p in found if p is not None])
+    result = moved
+    if periods:
+        beside = history.filter(F.col(CLOSED).isNotNull())
+        if len(periods) <= tables.MAX_NAMED_PARTITIONS:
+            beside = beside.filter(tables.in_partitions([CLOSED], periods))
+        result = moved.unionByName(beside)
+    table = tables.overwrite_partitions(result, ref)
+    if found and None not in found:
+        tables.empty_partitions(spark, ref, [CLOSED], [(None,)])
+        table = spark.table(ref.sql)
     return table

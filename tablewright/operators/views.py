@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -210,8 +211,12 @@ def refresh_incremental(
     ref: TableRef | str, changes: DataFrame, view: AggregateView,
     base: DataFrame | None = None, tag: str = "",
 ) -> DataFrame:
-    """Bring a stored aggregate up to date from changes alone."""
+    """Bring a stored aggregate up to date from changes alone.
+
+    With extremes the changes are read twice, so they are stored beside the state first.
+    """
     ref = TableRef.parse(ref)
     spark = changes.sparkSession
     tables.require_table(spark, ref)
-    return tables.rewrite(apply_changes(tables.fresh(spark, ref), changes, view, base), ref, tag)
+    with tables.staged(changes, ref) if view.extremes else nullcontext(changes) as feed:
+        return tables.rewrite(apply_changes(tables.fresh(spark, ref), feed, view, base), ref, tag)
