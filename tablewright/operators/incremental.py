@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablewright import tables
 from tablewright.naming import TableRef, as_list, quote, resolve_columns

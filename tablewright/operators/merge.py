@@ -75,18 +75,14 @@ def _split_predicates(
     return on_target, on_batch, on_both
 
 
-def repeated_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """The keys the batch has more than once, or None; it is an error if the target has one of them.
+def repeated_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys the batch has more than once, or None.
 
     Looked at before anything is joined (key columns only, counted before the shuffle), because a
-    repeated key that is hot on both sides would otherwise multiply.
+    repeated key that is hot on both sides would multiply.
     """
     repeated = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*keys)
-    if repeated.isEmpty():
-        return None
-    if not repeated.join(target.select(*keys).distinct(), list(keys), "left_semi").isEmpty():
-        raise ValueError(DUPLICATE_MATCH)
-    return repeated
+    return None if repeated.isEmpty() else repeated
 
 
 def unmatched(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -140,12 +136,14 @@ def merge(
         pieces.append(batch.filter(~F.coalesce(test, F.lit(False))))
         batch = batch.filter(test).alias(src)
 
-    # A NULL key matches nothing, and neither does a repeated one (see there).
+    # A NULL key matches nothing, and neither may a repeated one, unless a two-sided condition chooses.
     known = _all([F.col(quote(k)).isNotNull() for k in keys])
     pieces.append(batch.filter(~known))
     batch = batch.filter(known).alias(src)
-    repeated = None if on_both else repeated_keys(target, batch, keys)
-    if repeated is not None:
+    repeated = repeated_keys(batch, keys)
+    if repeated is not None and not on_both:
+        if not repeated.join(target.select(*keys).distinct(), keys, "left_semi").isEmpty():
+            raise ValueError(DUPLICATE_MATCH)
         pieces.append(batch.join(repeated, keys, "left_semi"))
         batch = batch.join(repeated, keys, "left_anti").alias(src)
 
@@ -162,15 +160,18 @@ def merge(
 
     small = F.broadcast(batch) if fits_broadcast(batch) else batch
     kept = target.join(small, match, "left").select(*[after_update(c) for c in target.columns])
-    if on_both:
+    if on_both and repeated is not None:
         pieces += _added_by_content(target, batch, match, src)
+    elif on_both:
+        met = target.join(small, match, "inner").select(*[F.col(f"{src}.{quote(k)}").alias(k) for k in keys])
+        pieces.append(batch.join(met.distinct(), keys, "left_anti"))
     else:
         pieces.append(unmatched(target, batch, keys))
     return reduce(DataFrame.unionByName, [p.select(*kept.columns) for p in pieces], kept)
 
 
 def _added_by_content(target: DataFrame, batch: DataFrame, match: Column, src: str) -> list[DataFrame]:
-    """Added rows where a condition looks at both sides, so the key alone does not decide.
+    """Added rows where a condition chooses among batch rows of one key, so the key does not tell them.
 
     A batch row is known by its whole content: equal copies match alike.  The second piece is
     always empty; it fails the job when a target row is matched twice.

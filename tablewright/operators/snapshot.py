@@ -14,7 +14,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablewright import tables
 from tablewright.guards import required

@@ -212,7 +212,7 @@ def schema_append(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("schema_change_sync", f"""
-select * exclude (o_orderpriority), cast(null as varchar) as channel from ({FIRST}) where o_orderdate < timestamp '1999-01-01'
+select * exclude (o_orderpriority), cast(null as varchar) as channel from ({KEPT})
 union all select * exclude (o_orderpriority), 'web-' || o_orderstatus as channel from ({SECOND})
 """)
 def schema_sync(spark: SparkSession, sf: str) -> DataFrame:

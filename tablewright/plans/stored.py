@@ -127,7 +127,8 @@ def view_model(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("ephemeral_model", """
 with per_customer as (select o_custkey, count(*) as n_orders from orders group by o_custkey)
-select c_mktsegment, sum(n_orders)::bigint as n_orders from customer join per_customer on o_custkey = c_custkey group by all
+select c_mktsegment, sum(n_orders)::bigint as n_orders
+from customer join per_customer on o_custkey = c_custkey group by all
 """)
 def ephemeral(spark: SparkSession, sf: str) -> DataFrame:
     """A model that is only ever part of another one's plan."""
