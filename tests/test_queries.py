@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
+from tablewright import plans
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,14 +15,15 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(plans.oracle_sql()) == set(plans.queries())
+    assert set(plans.queries()) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 150
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(plans.queries()))
 def test_query(spark, con, name):
-    problem, _ = oracle.difference(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name])
+    problem, _ = oracle.difference(plans.queries()[name](spark, FOLDER), con, plans.oracle_sql()[name])
     assert not problem, problem
