@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zipfile
+from pathlib import Path
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,12 +26,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_batches(spark: SparkSession) -> None:
-    """Small Arrow batches for the Python steps of this session that carry whole texts."""
+def prepare(spark: SparkSession) -> None:
+    """Ready this session for Python steps on whole texts: small Arrow batches, and this package on every executor."""
+    _ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > TEXT_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
 
 
+def _ship(spark: SparkSession) -> None:
+    """Hand the package to the executors, once per application, through Spark's own distribution of files."""
+    name, root = "tablewright_package.zip", Path(__file__).resolve().parents[1]
+    if name in spark.sparkContext._python_includes:
+        return
+    path = f"{spark.sparkContext._temp_dir}/{name}"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(path)
+
+
 def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
