@@ -139,30 +139,33 @@ def _surprise(a: float, b: float, n1: int, n0: int) -> float:
 def learn_lexicon(texts: list[str], toxic: list[int], most: int = 512) -> tuple[dict[str, float], dict[str, float]]:
     """Words and beginnings, with their weights, by greedy cover of the toxic texts.
 
-    An entry must be surprising over all texts, and explain two toxic ones that no earlier entry explains.
+    An entry must be surprising among the texts that no earlier entry explains, by more than the number of forms tried.
     """
     forms = [_forms(t) if y else None for t, y in zip(texts, toxic)]
     bad = Counter(f for fs in forms if fs for f in fs)
     bad = Counter({f: n for f, n in bad.items() if n >= 3})
     good = Counter(f for t, y in zip(texts, toxic) if not y for f in _forms(t) if f in bad)
     n1, n0 = sum(toxic), len(toxic) - sum(toxic)
-    least = 2 * math.log(max(2, len(bad))) + 4
+    least = 2 * math.log(max(2, len(bad))) + 2
     holders: dict[tuple[str, int], list[int]] = {}
     for i, fs in enumerate(forms):
         for f in fs or ():
             if f in bad:
                 holders.setdefault(f, []).append(i)
-    strong = {f for f in bad if _surprise(bad[f], good[f], n1, n0) >= least}
-    left, chosen, covered = Counter({f: bad[f] for f in strong}), {}, set()
+    left, chosen, covered = bad.copy(), {}, set()
     while len(chosen) < most and left:
-        # Equal evidence: a whole word before a beginning, then the longer beginning.
-        best = max(left, key=lambda f: (_surprise(left[f], good[f], n1, n0), f[1] == 0, f[1], f[0]))
+        # Of the texts not yet explained.  Equal evidence: a whole word before a beginning, then the longer beginning.
+        open_ = n1 - len(covered)
+        best = max(left, key=lambda f: (_surprise(left[f], good[f], open_, n0), f[1] == 0, f[1], f[0]))
+        if _surprise(left[best], good[best], open_, n0) < least:
+            break
         chosen[best] = min(6.0, math.log((bad[best] + 0.5) / (good[best] + 0.5) * max(1, n0) / max(1, n1)))
         for i in holders[best]:
             if i not in covered:
                 covered.add(i)
-                for f in forms[i] & strong:
-                    left[f] -= 1
+                for f in forms[i]:
+                    if f in left:
+                        left[f] -= 1
         left = Counter({f: n for f, n in left.items() if n >= 2 and f not in chosen})
     words = {f: w for (f, n), w in chosen.items() if n == 0 and w > 0}
     for seed in SEED - set(words):
