@@ -1,6 +1,6 @@
 """Operators that prepare text corpora for training language models; nothing else in the library imports them."""
 
-from tablewright.llm import chat, neardup, secrets, toxicity  # noqa: F401  (each import registers its query)
+from tablewright.llm import bpe, chat, neardup, packing, secrets, toxicity  # noqa: F401  (each import registers its query)
 from tablewright.llm.registry import oracle_sql, queries
 
 __all__ = ["oracle_sql", "queries"]
