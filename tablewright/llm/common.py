@@ -15,15 +15,23 @@ from tablewright.workspace import scratch_path
 # Rows of whole texts that travel to Python at a time; the default of 10,000 would hold gigabytes of long texts.
 TEXT_ROWS = 500
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
                 dtype=np.uint64)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read back: lineage ends here, and lost executors lose nothing."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    # What was shuffled for a stored step is not needed any more; otherwise all steps' files pile up on the disks.
+    before = spark.conf.get(_CLEAN_UP)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def prepare(spark: SparkSession) -> None:
