@@ -1,6 +1,8 @@
 """Operators that prepare text corpora for training language models; nothing else in the library imports them."""
 
-from tablewright.llm import bpe, chat, neardup, packing, secrets, substrings, toxicity  # noqa: F401  (each import registers its query)
+from tablewright.llm import (  # noqa: F401  (each import registers its query)
+    bpe, chat, neardup, neighbours, packing, secrets, substrings, toxicity, vectordup,
+)
 from tablewright.llm.registry import oracle_sql, queries
 
 __all__ = ["oracle_sql", "queries"]
