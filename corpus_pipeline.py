@@ -2,9 +2,67 @@
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablewright.llm import neardup, packing, secrets, substrings, toxicity
+from tablewright.llm.common import prepare, stored, whole_text
+from tablewright.llm.registry import table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` follows the text where a stage has changed it."""
+    return docs.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
+        F.length(whole_text()).cast(docs.schema["n_chars"].dataType)))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the grammar rejects go."""
+    prepare(spark)
+    return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents the one with the smallest id stays."""
+    return neardup.drop_near_duplicates(docs, percent=80)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of passages that occur earlier go; the documents stay."""
+    return _counted(substrings.remove_repeats(docs))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Live-looking secrets are replaced; the documents stay."""
+    return _counted(secrets.redact(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs).withColumnRenamed("doc", "doc_id")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", cut_repeated_passages),
+    ("secrets", redact_secrets),
+    ("packing", pack),
+]
+
+# The first stage learns its lexicon, and the last searches for a packing.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order, each stored and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for number, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = stored(docs, f"pipeline-{name}")
+    return docs

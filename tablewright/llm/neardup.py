@@ -25,10 +25,10 @@ from tablewright.llm.components import components
 from tablewright.llm.registry import query, table
 
 WORDS = 5
-# Values kept, and those that are listed.  Of two sets with similarity 0.85 or more all LISTED values differ with a
-# chance of 0.15 ** 12 = 1e-10, and fewer than three agree with 3e-7; the estimate from K values has a deviation of
-# 0.045, so that one of 0.85 falls below the floor with 1e-7.
-K, LISTED, FLOOR = 64, 12, 0.6
+# Values kept, those that are listed, and how far an estimate may lie below the threshold.  Of two sets with
+# similarity 0.8 all LISTED values differ with a chance of 0.2 ** 12 = 4e-9, and fewer than three agree with 5e-6
+# (0.85: 1e-10 and 3e-7); the estimate from K values has a deviation of 0.05, so that the margin is five of them.
+K, LISTED, MARGIN = 64, 12, 0.27
 ROUNDS = 3
 SHORT = 64  # longest list that is compared pairwise without dividing it
 
@@ -93,7 +93,7 @@ class _Linker:
             ("a", "b"), ("b", "a"), ("comp_a", "comp_b"), ("comp_b", "comp_a"))]).distinct()
         hopeful = _sides(pairs, self.classes, ["n", "sketch"]).filter(
             (100 * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b"))
-            & (_estimate(F.col("sketch_a"), F.col("sketch_b")) >= FLOOR)).select("a", "b", "comp_a", "comp_b")
+            & (_estimate(F.col("sketch_a"), F.col("sketch_b")) >= p / 100 - MARGIN)).select("a", "b", "comp_a", "comp_b")
         both = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
         similar = _sides(stored(hopeful, "near-hopeful"), self.sets, ["shingles"]).select(
             F.col("comp_a").alias("a"), F.col("comp_b").alias("b"), both.alias("both"),

@@ -215,7 +215,7 @@ def _cut(words: list, everything: bool | None, starts: list[int] | None, window:
     """The words that no repeated window covers."""
     if everything:
         return []
-    if not starts:
+    if starts is None or len(starts) == 0:
         return words
     kept, at = [], 0
     for start in starts:
