@@ -26,6 +26,9 @@ from tablewright.llm.common import prepare, stored, whole_text
 from tablewright.llm.registry import query, table
 
 GOOD, BAD, NONE = 1, 0, 2
+# A labeller is built to vote bad on hardly any good text.  Without this bound EM may take a fault that only one
+# labeller sees for a habit of good texts.
+FALSE_ALARMS = 0.003
 BUCKETS = 1024
 CACHED = 100_000
 _UPPER, _LOWER = np.arange(65, 91), np.arange(97, 123)
@@ -55,7 +58,7 @@ def _stutter(counts, words, text):
 
 
 def _variety(counts, words, text):
-    return _vote(1 - len(set(words)) / len(words), 0.8, 0.6) if len(words) >= 30 else NONE
+    return _vote(1 - len(set(words)) / len(words), 0.95, 0.6) if len(words) >= 30 else NONE
 
 
 def _lists(counts, words, text):
@@ -85,13 +88,15 @@ def em(patterns: dict[str, int], rounds: int = 100) -> dict[str, float]:
     cast = np.array([[int(v) for v in p] for p in names])
     # At first: a bad vote outweighs good ones, since most heuristics look for one fault.
     good = np.where((cast == BAD).any(axis=1), 0.1, np.where((cast == GOOD).any(axis=1), 0.9, 0.5))
-    hits = np.stack([cast == v for v in range(3)], axis=2).astype(float)
+    hits = np.stack([cast == v for v in (BAD, GOOD)], axis=2).astype(float)  # not voting says nothing
     for _ in range(rounds):
         prior = (n @ good + 1) / (n.sum() + 2)
         on_good = np.einsum("p,plv->lv", n * good, hits) + 0.5
         on_bad = np.einsum("p,plv->lv", n * (1 - good), hits) + 0.5
+        on_good, on_bad = (x / x.sum(axis=1, keepdims=True) for x in (on_good, on_bad))
+        on_good[:, 0] = np.minimum(on_good[:, 0], FALSE_ALARMS)
         odds = np.log(prior / (1 - prior)) + np.einsum(
-            "plv,lv->p", hits, np.log(on_good / on_good.sum(axis=1, keepdims=True)) - np.log(on_bad / on_bad.sum(axis=1, keepdims=True)))
+            "plv,lv->p", hits, np.log(on_good) - np.log(on_bad))
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         done, good = np.abs(new - good).max() < 1e-6, new
         if done:
@@ -122,9 +127,9 @@ def features(text: str) -> np.ndarray:
     return x
 
 
-def train(x: np.ndarray, y: np.ndarray, rounds: int = 300, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, each class with half of the weight, by adaptive gradient steps."""
-    weight = np.where(y >= 0.5, 0.5 / max(1.0, (y >= 0.5).sum()), 0.5 / max(1.0, (y < 0.5).sum()))
+def train(x: np.ndarray, y: np.ndarray, rounds: int = 1000, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels by adaptive gradient steps."""
+    weight = 1 / max(1, len(y))
     w, bias, seen, seen_b = np.zeros(x.shape[1]), 0.0, np.full(x.shape[1], 1e-8), 1e-8
     for _ in range(rounds):
         error = (1 / (1 + np.exp(-np.clip(x @ w + bias, -30, 30))) - y) * weight
