@@ -43,7 +43,7 @@ def listagg_rows(
     limit: int | None = None,
     distinct: bool = False,
 ) -> DataFrame:
-    """``listagg`` for groups of any size: one row per group with the joined text.
+    """``listagg`` for groups of any size: one row per group with the joined text, empty if all values are NULL.
 
     No task sorts or collects the rows of a whole group.  Rows are range-partitioned by group and
     order, so a hot group is spread over many tasks; each task joins its own stretch to one text,
@@ -57,38 +57,38 @@ def listagg_rows(
         raise ValueError("a distinct list can only be ordered by its value")
     order = order or [value]
     columns = [*groups, *dict.fromkeys([*order, value])]
-    rows = df.select(*[quote(c) for c in columns]).filter(F.col(quote(value)).isNotNull())
+    rows = df.select(*[quote(c) for c in columns])
     if distinct:
         rows = rows.distinct()
     sequence = list(dict.fromkeys([*order, value]))
     if limit is not None:
-        return _first_rows(rows, groups, sequence, limit).groupBy(*groups).agg(
+        return _first_rows(rows, groups, value, sequence, limit).groupBy(*groups).agg(
             _joined(sequence, value, delimiter).alias(output))
-    # Equal rows may fall on both sides of a boundary; being equal, their order does not matter.
+    # Rows that are equal in group and order stay in one stretch.
     spread = rows.repartitionByRange(*groups, *sequence).withColumn("__stretch", F.spark_partition_id())
-    stretches = spread.groupBy(*groups, "__stretch").agg(_joined(sequence, value, delimiter).alias("__text"))
+    text = F.when(F.count(F.col(quote(value))) > 0, _joined(sequence, value, delimiter))
+    stretches = spread.groupBy(*groups, "__stretch").agg(text.alias("__text"))
     return stretches.groupBy(*groups).agg(_joined(["__stretch", "__text"], "__text", delimiter).alias(output))
 
 
 def _joined(sequence: Sequence[str], value: str, delimiter: str) -> Column:
-    """The collected values in order, as one text."""
-    entries = F.array_sort(F.collect_list(F.struct(*[F.col(quote(c)) for c in sequence])))
+    """The collected values in order, as one text; NULL values are left out."""
+    entry = F.struct(*[F.col(quote(c)) for c in sequence])
+    entries = F.array_sort(F.collect_list(F.when(F.col(quote(value)).isNotNull(), entry)))
     return F.array_join(F.transform(entries, lambda e: e.getField(value).cast("string")), delimiter)
 
 
 # Up to here Spark itself drops rows beyond the rank before the shuffle.
 _RANKED_BEFORE_SHUFFLE = 1000
-_SHARES = 64
 
 
-def _first_rows(rows: DataFrame, groups: Sequence[str], sequence: Sequence[str], limit: int) -> DataFrame:
-    """The first ``limit`` rows of each group.  A long list is found in two steps: first within
-    shares of a group, so that no task ranks all rows of a hot one."""
+def _first_rows(rows: DataFrame, groups: Sequence[str], value: str, sequence: Sequence[str], limit: int) -> DataFrame:
+    """The first ``limit`` rows of each group, NULL values last.  A long list is found in two steps: first among
+    the rows that one task has read, so that no task ranks all rows of a hot group."""
     def ranked(df: DataFrame, *keys: str) -> DataFrame:
-        rank = F.row_number().over(W.partitionBy(*keys).orderBy(*sequence))
+        rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.col(quote(value)).isNull(), *sequence))
         return df.withColumn("__rank", rank).filter(F.col("__rank") <= limit).drop("__rank")
 
     if limit > _RANKED_BEFORE_SHUFFLE:
-        share = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in sequence]), F.lit(_SHARES))
-        rows = ranked(rows.withColumn("__share", share), *groups, "__share").drop("__share")
+        rows = ranked(rows.withColumn("__share", F.spark_partition_id()), *groups, "__share").drop("__share")
     return ranked(rows, *groups)

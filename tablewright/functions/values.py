@@ -30,9 +30,17 @@ def concat(*fields: object) -> Column:
     return F.concat(*[_column(f) for f in fields])
 
 
-def split_part(text: Column, delimiter: str, number: int) -> Column:
-    """The n-th part, counted from one (zero is read as one) or from the end when negative; NULL past either end."""
-    return F.try_element_at(F.split(text, re.escape(delimiter)), F.lit(number if number else 1))
+def split_part(text: Column, delimiter: str | Column, number: int) -> Column:
+    """The n-th part, counted from one (zero is read as one) or from the end when negative; NULL past either end.
+
+    The delimiter may be a column; it is taken literally.
+    """
+    if isinstance(delimiter, Column):
+        literal = F.replace(delimiter, F.lit(r"\E"), F.lit(r"\E\\E\Q"))
+        pattern = F.concat(F.lit(r"\Q"), literal, F.lit(r"\E"))
+    else:
+        pattern = re.escape(delimiter)
+    return F.try_element_at(F.split(text, pattern), F.lit(number if number else 1))
 
 
 _WHOLE_NUMBERS = {"bigint", "int", "integer", "long", "smallint", "short", "tinyint", "byte"}

@@ -59,7 +59,7 @@ def evaluate(
     counted = failing.agg(F.expr(fail_calc).alias("calculated"))
     errors = F.expr(f"calculated {error_if}") if severity == "error" else F.lit(False)
     return counted.select(
-        F.col("calculated").cast("int").alias("failures"),
+        F.col("calculated").cast("bigint").alias("failures"),
         F.expr(f"calculated {warn_if}").alias("should_warn"),
         errors.alias("should_error"),
     )

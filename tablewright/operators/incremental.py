@@ -15,6 +15,7 @@ from tablewright.operators.merge import merge_into
 from tablewright.operators.schema_change import apply_schema_change
 from tablewright.sizes import fits_broadcast
 from tablewright.tables import Storage
+from tablewright.workspace import scratch_path
 
 STRATEGIES = ("append", "merge", "insert_overwrite", "microbatch")
 
@@ -26,6 +27,8 @@ def validate_incremental(strategy: str | None, fmt: str, partition_by: Sequence[
         raise ValueError(f"invalid file format {fmt!r}; expected one of {', '.join(tables.FORMATS)}")
     if strategy not in STRATEGIES:
         raise ValueError(f"invalid incremental strategy {strategy!r}; expected one of {', '.join(STRATEGIES)}")
+    if fmt == "delta":
+        raise ValueError("delta tables need Delta Lake's own commits; use parquet")
     if fmt == "csv" and strategy != "append":
         raise ValueError(f"strategy {strategy!r} needs a columnar table, not {fmt!r}")
     if strategy == "microbatch" and not as_list(partition_by):
@@ -127,7 +130,8 @@ def microbatch(
     """Rebuild the slices of ``[begin, end]`` from the source rows whose event time falls in them.
 
     The model is run once per slice.  One that works row by row, so that slices do not
-    matter to it, can be run over all of them at once with ``rowwise=True``.
+    matter to it, can be run over all of them at once with ``rowwise=True``.  Several slices are
+    gathered beside the table and put in place together, so a partition may hold more than one.
     Rows outside the slices are not picked up; running again changes nothing.
     """
     ref = TableRef.parse(ref)
@@ -137,17 +141,26 @@ def microbatch(
     if rowwise and parts:
         parts = [(parts[0][0], parts[-1][1])]
     kind = source.schema[event_time].dataType
-    for lo, hi in parts:
-        at = F.col(quote(event_time))
-        batch = model(source.filter(
-            (at >= F.lit(str(lo)).cast(kind)) & (at < F.lit(str(hi)).cast(kind))))
-        if tables.table_kind(spark, ref) != "table":
-            tables.write_table(batch, ref, Storage(**{**storage.__dict__, "partition_by": as_list(partition_by)}))
-        else:
-            replace_partitions(ref, batch, partition_by)
+    at = F.col(quote(event_time))
+    batches = (model(source.filter((at >= F.lit(str(lo)).cast(kind)) & (at < F.lit(str(hi)).cast(kind)))) for lo, hi in parts)
+    if len(parts) == 1:
+        _put(ref, next(batches), partition_by, storage)
+    elif parts:
+        gathered = scratch_path(spark, "slices")
+        for batch in batches:
+            schema = batch.schema
+            batch.write.mode("append").parquet(gathered)
+        _put(ref, spark.read.schema(schema).parquet(gathered), partition_by, storage)
     return spark.table(ref.sql)
 
 
+def _put(ref: TableRef, batch: DataFrame, partition_by: Sequence[str] | str, storage: Storage) -> None:
+    if tables.table_kind(batch.sparkSession, ref) != "table":
+        tables.write_table(batch, ref, Storage(**{**storage.__dict__, "partition_by": as_list(partition_by)}))
+    else:
+        replace_partitions(ref, batch, partition_by)
+
+
 def newer_than(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Source rows above the highest value the target holds; all rows while it holds none.
 

@@ -164,6 +164,9 @@ def snapshot_step(
     """
     c = config.columns
     validate_target(history, config)
+    # Names are the same whatever their case; the history's spelling counts.
+    spelling = {n.lower(): n for n in history.columns}
+    source = source.select(*[F.col(quote(n)).alias(spelling.get(n.lower(), n)) for n in source.columns])
     keys = resolve_columns(as_list(config.unique_key), source.columns, "unique_key")
     resolve_columns(keys, history.columns, "unique_key")
     have = {n.lower() for n in history.columns}

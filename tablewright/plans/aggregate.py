@@ -42,6 +42,18 @@ def listagg_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return fn.listagg_rows(table(spark, sf, "events"), "user_id", "event_type", "event_types", distinct=True)
 
 
+@query("agg_listagg_nulls", """
+select o_custkey, coalesce(string_agg(cast(o_orderkey as varchar), ',' order by o_orderkey)
+                           filter (o_orderpriority = '1-URGENT' and o_custkey % 3 <> 0), '') as urgent_orders
+from orders group by o_custkey
+""")
+def listagg_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the customers, at least, has nothing but NULL values."""
+    wanted = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_custkey") % 3 != 0)
+    orders = table(spark, sf, "orders").withColumn("urgent", F.when(wanted, F.col("o_orderkey")))
+    return fn.listagg_rows(orders, "o_custkey", "urgent", "urgent_orders")
+
+
 @query("agg_listagg_limit", """
 select user_id, string_agg(event_type, '_|_' order by ts, event_id) as first_events from (
     select *, row_number() over (partition by user_id order by ts, event_id) as place from events

@@ -73,7 +73,7 @@ with failures(test_name, n) as (
     union all select 'accepted_rows', sum(n) from (select count(*) as n from events
               where event_type not in ('click', 'purchase', 'view') group by event_type)
     union all select 'relationships', count(*) from orders where o_custkey not in (select user_id from events))
-select test_name, cast(n as integer) as failures, n > 2 as should_warn, n <> 0 as should_error from failures
+select test_name, cast(n as bigint) as failures, n > 2 as should_warn, n <> 0 as should_error from failures
 """)
 def evaluate(spark: SparkSession, sf: str) -> DataFrame:
     events = checks.accepted_values(table(spark, sf, "events"), "event_type", EVENT_TYPES)

@@ -146,9 +146,11 @@ def semi(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").join(seen, "c_custkey", "left_semi")
 
 
-@query("rel_anti", "select * from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("rel_anti", """
+select * from customer where not exists (select 1 from events where user_id = c_custkey and event_type = 'purchase')
+""")
 def anti(spark: SparkSession, sf: str) -> DataFrame:
-    buyers = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    buyers = table(spark, sf, "events").filter("event_type = 'purchase'").select(F.col("user_id").alias("c_custkey")).distinct()
     return table(spark, sf, "customer").join(buyers, "c_custkey", "left_anti")
 
 
@@ -176,10 +178,12 @@ def union_all(spark: SparkSession, sf: str) -> DataFrame:
     return orders.unionByName(events)
 
 
-@query("rel_except", "select c_custkey as customer_id from customer except select o_custkey from orders")
+@query("rel_except", """
+select o_custkey as customer_id from orders except select o_custkey from orders where o_orderpriority = '1-URGENT'
+""")
 def except_(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("customer_id")).subtract(
-        table(spark, sf, "orders").select(F.col("o_custkey").alias("customer_id")))
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("customer_id"), "o_orderpriority")
+    return orders.select("customer_id").subtract(orders.filter("o_orderpriority = '1-URGENT'").select("customer_id"))
 
 
 @query("rel_intersect", "select o_custkey as customer_id from orders intersect select user_id from events")

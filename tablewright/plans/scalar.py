@@ -67,6 +67,19 @@ def split_part(spark: SparkSession, sf: str) -> DataFrame:
         fn.split_part(text, "-", 2).alias("second_part"), fn.split_part(text, "-", -1).alias("last_part"))
 
 
+@query("fn_split_part_by_column", """
+select o_orderkey, split_part(o_orderpriority || o_orderstatus || 'x', o_orderstatus, 1) as before_status,
+       nullif(split_part(o_clerk, '#', 1), '') as clerk
+from (select *, 'Clerk#' || o_custkey as o_clerk from orders)
+""")
+def split_part_by_column(spark: SparkSession, sf: str) -> DataFrame:
+    text = F.concat("o_orderpriority", "o_orderstatus", F.lit("x"))
+    clerk = F.concat(F.lit("Clerk#"), F.col("o_custkey").cast("string"))
+    return table(spark, sf, "orders").select(
+        "o_orderkey", fn.split_part(text, c("o_orderstatus"), 1).alias("before_status"),
+        fn.split_part(clerk, F.lit("#"), 1).alias("clerk"))
+
+
 @query("fn_date_trunc", "select event_id, " + ", ".join(
     f"cast(date_trunc('{p}', ts) as timestamp) as {p}_start"
     for p in ("hour", "day", "week", "month", "quarter", "year")) + " from events")

@@ -140,13 +140,19 @@ def test_listagg(spark):
     limited = df.groupBy("grp").agg(fn.listagg(c("txt"), "_|_", [c("o").desc()] and [-c("o")], limit=2).alias("l"))
     assert dict(rows(limited))[3] == "p_|_g"
     frame = fn.listagg_rows(df, "grp", "txt", "l", "|", order_by="o")
-    assert rows(frame, "grp", "l") == [(1, "a|b"), (2, "z"), (3, "g|g|p")]
-    assert rows(fn.listagg_rows(df, ["grp"], "txt", "l", distinct=True)) == [(1, "a,b"), (2, "z"), (3, "g,p")]
-    assert rows(fn.listagg_rows(df, "grp", "txt", "l", order_by="o", limit=1)) == [(1, "a"), (2, "z"), (3, "g")]
+    assert rows(frame, "grp", "l") == [(1, "a|b"), (2, "z"), (3, "g|g|p"), (4, "")]
+    assert rows(fn.listagg_rows(df, ["grp"], "txt", "l", distinct=True)) == [(1, "a,b"), (2, "z"), (3, "g,p"), (4, "")]
+    assert rows(fn.listagg_rows(df, "grp", "txt", "l", order_by="o", limit=1)) == [(1, "a"), (2, "z"), (3, "g"), (4, "")]
     with pytest.raises(ValueError):
         fn.listagg_rows(df, "grp", "txt", "l", order_by="o", distinct=True)
 
 
+def test_listagg_of_one_repeated_value(spark):
+    df = spark.range(0, 5000, 1, 6).select(F.lit(1).alias("g"), F.when(F.col("id") % 5 > 0, "same").alias("v"))
+    for limit, size in ((None, 4000), (1200, 1200), (3, 3)):
+        assert fn.listagg_rows(df, "g", "v", "l", limit=limit).first()["l"].split(",") == ["same"] * size
+
+
 def test_listagg_of_a_hot_group(spark):
     df = spark.range(6000).select(
         F.when(F.col("id") < 2000, 0).otherwise(F.col("id") / 7).cast("int").alias("g"),

@@ -10,10 +10,11 @@ from tablewright import Storage, TableRef, tables
 from tablewright.operators import incremental as inc
 from tablewright.operators.merge import merge, merge_into
 
-FIRST = [(1, "hello"), (2, "goodbye")]
-SECOND = [(2, "yo"), (3, "anyway")]
-COLOURED = [(1, "hello", "blue"), (2, "goodbye", "red")]
-SCHEMA, SCHEMA3 = "id bigint, msg string", "id bigint, msg string, color string"
+FIRST = [(11, "oak"), (12, "elm"), (14, "ash")]
+SECOND = [(12, "fir"), (15, "yew"), (16, "box")]
+UPSERTED = [(11, "oak"), (12, "fir"), (14, "ash"), (15, "yew"), (16, "box")]
+ZONED = [(1, "oak", "hill"), (2, "elm", "shore"), (4, "ash", "hill")]
+SCHEMA, SCHEMA3 = "id bigint, note string", "id bigint, note string, zone string"
 
 
 def made(spark, data, schema=SCHEMA):
@@ -29,38 +30,38 @@ def started(request, spark, ns):
 
 def test_append_keeps_copies(spark, started):
     ref, _ = started
-    assert rows(inc.append(ref, made(spark, SECOND)), "id", "msg") == sorted(FIRST + SECOND, key=repr)
+    assert rows(inc.append(ref, made(spark, SECOND)), "id", "note") == sorted(FIRST + SECOND, key=repr)
 
 
 def test_overwrite_replaces_all_or_the_partitions_of_the_batch(spark, started):
     ref, layout = started
-    kept = [(1, "hello")] if layout == "by_id" else []
-    assert rows(inc.insert_overwrite(ref, made(spark, SECOND)), "id", "msg") == sorted(kept + SECOND, key=repr)
+    kept = [(11, "oak"), (14, "ash")] if layout == "by_id" else []
+    assert rows(inc.insert_overwrite(ref, made(spark, SECOND)), "id", "note") == sorted(kept + SECOND, key=repr)
 
 
 def test_merge_on_key(spark, started):
     ref, _ = started
-    assert rows(merge_into(ref, made(spark, SECOND), "id"), "id", "msg") == [(1, "hello"), (2, "yo"), (3, "anyway")]
+    assert rows(merge_into(ref, made(spark, SECOND), "id"), "id", "note") == UPSERTED
 
 
 @pytest.mark.parametrize("key", [None, "", []])
 def test_merge_without_key_adds_everything(spark, started, key):
     ref, _ = started
-    assert rows(merge_into(ref, made(spark, SECOND), key), "id", "msg") == sorted(FIRST + SECOND, key=repr)
+    assert rows(merge_into(ref, made(spark, SECOND), key), "id", "note") == sorted(FIRST + SECOND, key=repr)
 
 
 def test_update_only_some_columns(spark):
-    batch = made(spark, [(2, "yo", "green"), (3, "anyway", "purple")], SCHEMA3)
-    result = merge(made(spark, COLOURED, SCHEMA3), batch, "id", update_columns=["msg"])
-    assert rows(result) == [(1, "hello", "blue"), (2, "yo", "red"), (3, "anyway", "purple")]
+    batch = made(spark, [(2, "fir", "town"), (5, "yew", "town")], SCHEMA3)
+    result = merge(made(spark, ZONED, SCHEMA3), batch, "id", update_columns=["note"])
+    assert rows(result) == [(1, "oak", "hill"), (2, "fir", "shore"), (4, "ash", "hill"), (5, "yew", "town")]
 
 
-BATCH3 = [(1, "hey", "blue"), (2, "yo", "green"), (3, "anyway", "purple")]
+BATCH3 = [(1, "box", "hill"), (2, "fir", "town"), (5, "yew", "town")]
 
 
 def test_exclude_columns_ignores_case(spark):
-    result = merge(made(spark, COLOURED, SCHEMA3), made(spark, BATCH3, SCHEMA3), "id", exclude_columns=["MSG"])
-    assert rows(result) == [(1, "hello", "blue"), (2, "goodbye", "green"), (3, "anyway", "purple")]
+    result = merge(made(spark, ZONED, SCHEMA3), made(spark, BATCH3, SCHEMA3), "id", exclude_columns=["NOTE"])
+    assert rows(result) == [(1, "oak", "hill"), (2, "elm", "town"), (4, "ash", "hill"), (5, "yew", "town")]
 
 
 @pytest.mark.parametrize("predicate, aliases", [
@@ -69,53 +70,53 @@ def test_exclude_columns_ignores_case(spark):
     ("old_row.id + new_row.id <> 4", ("old_row", "new_row")),
 ])
 def test_predicate_leaves_the_row_unmatched(spark, predicate, aliases):
-    result = merge(made(spark, COLOURED, SCHEMA3), made(spark, BATCH3, SCHEMA3), "id",
+    result = merge(made(spark, ZONED, SCHEMA3), made(spark, BATCH3, SCHEMA3), "id",
                    predicates=[predicate], aliases=aliases)
-    assert rows(result) == [(1, "hey", "blue"), (2, "goodbye", "red"), (2, "yo", "green"), (3, "anyway", "purple")]
+    assert rows(result) == [
+        (1, "box", "hill"), (2, "elm", "shore"), (2, "fir", "town"), (4, "ash", "hill"), (5, "yew", "town")]
 
 
 def test_predicate_that_is_null_does_not_match(spark):
     target = made(spark, [(1, "a", None), (2, "b", "x")], SCHEMA3)
     batch = made(spark, [(1, "A", "y"), (2, "B", "y")], SCHEMA3)
-    result = merge(target, batch, "id", predicates="target.color = 'x'")
+    result = merge(target, batch, "id", predicates="target.zone = 'x'")
     assert rows(result) == sorted([(1, "a", None), (1, "A", "y"), (2, "B", "y")], key=repr)
 
 
 def test_both_lists_are_refused(spark):
     with pytest.raises(ValueError, match="not both"):
-        merge(made(spark, COLOURED, SCHEMA3), made(spark, BATCH3, SCHEMA3), "id",
-              update_columns="msg", exclude_columns="color")
+        merge(made(spark, ZONED, SCHEMA3), made(spark, BATCH3, SCHEMA3), "id",
+              update_columns="note", exclude_columns="zone")
 
 
 # -------------------------------------------------------------- unique keys
 
-PLACES = [
-    ("CT", "Hartford", "Hartford", date(2020, 9, 23)), ("MA", "Suffolk", "Boston", date(2020, 2, 12)),
-    ("NJ", "Mercer", "Trenton", date(2022, 1, 1)), ("NY", "Kings", "Brooklyn", date(2021, 4, 2)),
-    ("NY", "New York", "Manhattan", date(2021, 4, 1)), ("PA", "Philadelphia", "Philadelphia", date(2021, 5, 21)),
+DOCKS = [
+    ("east", "mill", 4, date(2031, 3, 8)), ("east", "quay", 1, date(2031, 3, 2)), ("north", "yard", 7, date(2030, 12, 30)),
+    ("south", "quay", 2, date(2031, 1, 19)),
 ]
-PLACE_SCHEMA = "state string, county string, city string, last_visit_date date"
-MOVED = ("CT", "Hartford", "Hartford", date(2022, 2, 14))
-NEW = [("WA", "King", "Seattle", date(2022, 2, 1)), ("CA", "Los Angeles", "Los Angeles", date(2022, 2, 1))]
+DOCK_SCHEMA = "zone string, site string, dock int, checked date"
+CHECKED = ("north", "yard", 7, date(2031, 4, 1))
+BUILT = [("west", "quay", 1, date(2031, 5, 5)), ("upper", "mill", 9, date(2031, 5, 6)), ("lower", "mill", 9, None)]
 
 
-@pytest.mark.parametrize("key", ["state", ["state"], ["state", "state"], ["state", "county", "city"]])
-def test_new_places_are_added(spark, key):
-    result = merge(made(spark, PLACES, PLACE_SCHEMA), made(spark, NEW, PLACE_SCHEMA), key)
-    assert rows(result) == sorted(PLACES + NEW, key=repr)
+@pytest.mark.parametrize("key", ["zone", ["zone"], ["zone", "zone"], ["zone", "site", "dock"]])
+def test_new_docks_are_added(spark, key):
+    result = merge(made(spark, DOCKS, DOCK_SCHEMA), made(spark, BUILT, DOCK_SCHEMA), key)
+    assert rows(result) == sorted(DOCKS + BUILT, key=repr)
 
 
-@pytest.mark.parametrize("key", ["state", ["state", "state"], ["state", "county", "city"]])
-def test_a_known_place_is_updated(spark, key):
-    result = merge(made(spark, PLACES, PLACE_SCHEMA), made(spark, [MOVED], PLACE_SCHEMA), key)
-    assert rows(result) == sorted([MOVED] + PLACES[1:], key=repr)
+@pytest.mark.parametrize("key", ["zone", ["zone", "zone"], ["dock", "site", "zone"]])
+def test_a_known_dock_is_updated(spark, key):
+    result = merge(made(spark, DOCKS, DOCK_SCHEMA), made(spark, [CHECKED], DOCK_SCHEMA), key)
+    assert rows(result) == sorted([CHECKED, *DOCKS[:2], DOCKS[3]], key=repr)
 
 
 def test_unknown_key_is_named(spark, ns):
-    ref = TableRef("places", ns)
-    tables.write_table(made(spark, PLACES, PLACE_SCHEMA), ref)
-    with pytest.raises(ValueError, match="not_a_column"):
-        merge_into(ref, made(spark, NEW, PLACE_SCHEMA), ["state", "not_a_column"])
+    ref = TableRef("docks", ns)
+    tables.write_table(made(spark, DOCKS, DOCK_SCHEMA), ref)
+    with pytest.raises(ValueError, match="nowhere"):
+        merge_into(ref, made(spark, BUILT, DOCK_SCHEMA), ["zone", "nowhere"])
 
 
 def test_one_batch_row_may_update_many(spark):
@@ -128,10 +129,10 @@ def test_batch_derived_from_its_target(spark, request):
         if way == "shuffled":
             request.getfixturevalue("shuffled")
         target = made(spark, FIRST + [(None, "n")])
-        batch = target.filter("id = 2 or id is null").withColumn("msg", F.lit("again"))
-        for predicates in (None, "target.msg <> source.msg"):
+        batch = target.filter("id = 12 or id is null").withColumn("note", F.lit("again"))
+        for predicates in (None, "target.note <> source.note"):
             assert rows(merge(target, batch, "id", predicates=predicates)) == sorted(
-                [(1, "hello"), (2, "again"), (None, "n"), (None, "again")], key=repr)
+                [(11, "oak"), (12, "again"), (14, "ash"), (None, "n"), (None, "again")], key=repr)
 
 
 def test_null_keys_are_added(spark):
@@ -145,26 +146,26 @@ def test_repeated_batch_key(spark, way, request):
     if way == "shuffled":
         request.getfixturevalue("shuffled")
     target = made(spark, FIRST)
-    result = merge(target, made(spark, [(7, "a"), (7, "b"), (2, "yo"), (8, "c")]), "id")
-    assert rows(result) == [(1, "hello"), (2, "yo"), (7, "a"), (7, "b"), (8, "c")]
+    result = merge(target, made(spark, [(7, "a"), (7, "b"), (12, "fir"), (8, "c")]), "id")
+    assert rows(result) == [(11, "oak"), (12, "fir"), (14, "ash"), (7, "a"), (7, "b"), (8, "c")]
     with pytest.raises(ValueError, match="same target row"):
-        merge(target, made(spark, [(2, "a"), (2, "b")]), "id")
+        merge(target, made(spark, [(12, "a"), (12, "b")]), "id")
 
 
 def test_repeated_match_through_a_two_sided_condition_fails(spark):
     target, batch = made(spark, [(1, "m")]), made(spark, [(1, "a"), (1, "b")])
     with pytest.raises(Exception, match="same target row"):
-        merge(target, batch, "id", predicates="source.msg < target.msg").collect()
-    chosen = merge(target, made(spark, [(1, "a"), (1, "z")]), "id", predicates="source.msg < target.msg")
+        merge(target, batch, "id", predicates="source.note < target.note").collect()
+    chosen = merge(target, made(spark, [(1, "a"), (1, "z")]), "id", predicates="source.note < target.note")
     assert rows(chosen) == [(1, "a"), (1, "z")]
 
 
 def test_extra_batch_columns_are_left_out_and_missing_ones_refused(spark, ns):
     ref = TableRef("model", ns)
     tables.write_table(made(spark, FIRST), ref)
-    inc.append(ref, made(spark, [(9, "x", "red")], SCHEMA3))
+    inc.append(ref, made(spark, [(9, "x", "town")], SCHEMA3))
     assert (9, "x") in rows(spark.table(ref.sql))
-    with pytest.raises(ValueError, match="msg"):
+    with pytest.raises(ValueError, match="note"):
         inc.append(ref, spark.createDataFrame([(1,)], "id bigint"))
 
 
@@ -175,33 +176,33 @@ def test_extra_batch_columns_are_left_out_and_missing_ones_refused(spark, ns):
 def test_the_table_keeps_its_types(spark, ns, write):
     ref = TableRef("typed", ns)
     tables.write_table(made(spark, FIRST), ref)
-    batch = spark.createDataFrame([("5", 2)], "msg string, id int")
-    assert write(ref, batch).dtypes == [("id", "bigint"), ("msg", "string")]
+    batch = spark.createDataFrame([("5", 2)], "note string, id int")
+    assert write(ref, batch).dtypes == [("id", "bigint"), ("note", "string")]
     assert (2, "5") in rows(spark.table(ref.sql))
 
 
 def test_partition_move_clears_the_old_partition(spark, ns):
     ref = TableRef("moving", ns)
-    tables.write_table(made(spark, [(1, "a"), (2, "a"), (3, "b"), (4, "c")]), ref, Storage(partition_by="msg"))
+    tables.write_table(made(spark, [(1, "a"), (2, "a"), (3, "b"), (4, "c")]), ref, Storage(partition_by="note"))
     moved = merge_into(ref, made(spark, [(3, "a"), (2, "c")]), "id")
-    assert rows(moved, "id", "msg") == [(1, "a"), (2, "c"), (3, "a"), (4, "c")]
+    assert rows(moved, "id", "note") == [(1, "a"), (2, "c"), (3, "a"), (4, "c")]
     # What was cleared stays cleared when the partition gets rows again.
-    assert rows(inc.append(ref, made(spark, [(5, "b")])), "id", "msg") == [
+    assert rows(inc.append(ref, made(spark, [(5, "b")])), "id", "note") == [
         (1, "a"), (2, "c"), (3, "a"), (4, "c"), (5, "b")]
 
 
 def test_partition_move_with_null_partition(spark, ns):
     ref = TableRef("moving", ns)
-    tables.write_table(made(spark, [(1, None), (2, "a")]), ref, Storage(partition_by="msg"))
-    assert rows(merge_into(ref, made(spark, [(1, "a")]), "id"), "id", "msg") == [(1, "a"), (2, "a")]
-    assert rows(merge_into(ref, made(spark, [(2, None)]), "id"), "id", "msg") == sorted(
+    tables.write_table(made(spark, [(1, None), (2, "a")]), ref, Storage(partition_by="note"))
+    assert rows(merge_into(ref, made(spark, [(1, "a")]), "id"), "id", "note") == [(1, "a"), (2, "a")]
+    assert rows(merge_into(ref, made(spark, [(2, None)]), "id"), "id", "note") == sorted(
         [(1, "a"), (2, None)], key=repr)
 
 
 def test_partitioned_merge_leaves_other_files_alone(spark, ns):
     ref = TableRef("part", ns)
-    tables.write_table(made(spark, [(1, "a"), (2, "b")]), ref, Storage(partition_by="msg"))
-    files = lambda: {r[0] for r in spark.table(ref.sql).filter("msg = 'b'").select("_metadata.file_path").collect()}
+    tables.write_table(made(spark, [(1, "a"), (2, "b")]), ref, Storage(partition_by="note"))
+    files = lambda: {r[0] for r in spark.table(ref.sql).filter("note = 'b'").select("_metadata.file_path").collect()}
     before = files()
     merge_into(ref, made(spark, [(1, "a"), (7, "a")]), "id")
     assert files() == before
@@ -224,26 +225,39 @@ def test_replace_partitions_treats_null_as_a_value(spark, ns):
 def test_replace_partitions_on_another_layout(spark, ns):
     ref = TableRef("other", ns)
     tables.write_table(made(spark, [(1, "a"), (2, "b")]), ref, Storage(partition_by="id"))
-    assert rows(inc.replace_partitions(ref, made(spark, [(9, "b")]), "msg"), "id", "msg") == [(1, "a"), (9, "b")]
+    assert rows(inc.replace_partitions(ref, made(spark, [(9, "b")]), "note"), "id", "note") == [(1, "a"), (9, "b")]
 
 
 @pytest.mark.parametrize("rowwise", [False, True])
-def test_microbatch_counts(spark, ns, rowwise):
-    schema = "id bigint, event_time timestamp_ntz"
-    first = [(i, datetime(2020, 1, i)) for i in (1, 2, 3)]
-    late = first + [(4, datetime(2020, 1, 4)), (5, datetime(2020, 1, 5))]
+def test_microbatches_pick_up_what_lies_in_their_slices(spark, ns, rowwise):
+    schema = "id bigint, seen_at timestamp_ntz"
+    early = [(i, datetime(2031, 8, i, i)) for i in range(10, 15)]
+    late = [(30, datetime(2031, 8, 12, 23, 59)), (31, datetime(2031, 8, 20))]
     ref = TableRef("micro", ns)
 
-    def run(data, end):
+    def run(data, first, last):
         table = inc.microbatch(
-            ref, spark.createDataFrame(data, schema), lambda d: d.withColumn("date_day", F.to_date("event_time")),
-            event_time="event_time", batch_size="day", begin=datetime(2020, 1, 1), end=end,
-            partition_by="date_day", rowwise=rowwise)
-        return table.count()
+            ref, spark.createDataFrame(data, schema), lambda d: d.withColumn("seen_on", F.to_date("seen_at")),
+            event_time="seen_at", batch_size="day", begin=datetime(2031, 8, first, 7), end=datetime(2031, 8, last, 1),
+            partition_by="seen_on", rowwise=rowwise)
+        return [r[0] for r in rows(table, "id")]
 
-    assert [run(first, datetime(2020, 1, 3, 13, 57)), run(first, datetime(2020, 1, 3, 14, 57)),
-            run(late, datetime(2020, 1, 3, 14, 57)), run(late, datetime(2020, 1, 4, 14, 57)),
-            run(late, datetime(2020, 1, 5, 14, 57))] == [3, 3, 3, 4, 5]
+    assert run(early, 10, 12) == [10, 11, 12]
+    assert run(early, 10, 12) == [10, 11, 12]
+    assert run(early + late, 13, 14) == [10, 11, 12, 13, 14]
+    assert run(early + late, 12, 13) == [10, 11, 12, 13, 14, 30]
+
+
+@pytest.mark.parametrize("rowwise", [False, True])
+def test_slices_finer_than_a_partition_are_all_kept(spark, ns, rowwise):
+    source = spark.createDataFrame([(i, datetime(2031, 9, i)) for i in (2, 3, 20)], "id bigint, seen_at timestamp_ntz")
+    table = None
+    for _ in range(2):  # into a new table, then into the partition
+        table = inc.microbatch(
+            TableRef("coarse", ns), source, lambda d: d.withColumn("month", F.date_trunc("month", "seen_at").cast("date")),
+            event_time="seen_at", batch_size="day", begin=datetime(2031, 9, 1), end=datetime(2031, 9, 30),
+            partition_by="month", rowwise=rowwise)
+    assert [r[0] for r in rows(table, "id")] == [2, 20, 3]
 
 
 def test_slices():
@@ -271,7 +285,7 @@ def test_watermark_prunes_at_the_scan(spark, ns, tmp_path):
 
 def test_validate_incremental():
     assert inc.validate_incremental(None, "parquet") == "append"
-    for strategy, fmt in (("append", "orc"), ("upsert", "parquet"), ("merge", "csv"), ("microbatch", "parquet")):
+    for strategy, fmt in (("append", "orc"), ("upsert", "parquet"), ("merge", "csv"), ("microbatch", "parquet"), ("merge", "delta")):
         with pytest.raises(ValueError):
             inc.validate_incremental(strategy, fmt)
 
@@ -289,7 +303,7 @@ def test_build_runs_hooks_and_strategies(spark, ns):
             pre=[lambda: seen.append("pre")], post=[lambda: seen.append("post")], **options))
 
     assert build() == sorted(FIRST)
-    assert build() == [(1, "hello"), (2, "yo"), (3, "anyway")]
+    assert build() == UPSERTED
     assert build(full_refresh=True) == sorted(FIRST)
     tables.drop(spark, ref)
     tables.materialize_view(spark, "SELECT 1 AS id", ref)
@@ -312,10 +326,10 @@ def test_merge_is_an_upsert_and_idempotent(spark, old, new):
 def test_hot_key_against_brute_force(spark, shuffled):
     """A third of the target has one key; the batch has it once and another new key many times."""
     target = spark.range(3000).select(
-        F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("id"), F.lit("old").alias("msg"))
+        F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("id"), F.lit("old").alias("note"))
     batch = made(spark, [(7, "new")]).union(
         spark.range(500).select(F.lit(-1).cast("bigint"), F.lit("added"))).union(made(spark, [(2000, "two")]))
-    counted = {(r[0], r[1]): r[2] for r in merge(target, batch, "id").groupBy("id", "msg").count().collect()}
+    counted = {(r[0], r[1]): r[2] for r in merge(target, batch, "id").groupBy("id", "note").count().collect()}
     expected = {(7, "new"): 1000, (-1, "added"): 500, (2000, "two"): 1}
     expected |= {(i, "old"): 1 for i in range(1000, 3000) if i != 2000}
     assert counted == expected

@@ -1,100 +1,62 @@
-"""The sample project from raw files to tested tables: 100 customers, 99 orders, 113 payments."""
+"""A small project on the star schema, from raw files to tested tables."""
 
-import random
-from datetime import date, timedelta
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from tablewright import TableRef, tables
+from tablewright import Storage, TableRef, tables
 from tablewright.operators import checks
 from tablewright.operators.constraints import contract
+from tablewright.sources.files import parquet_table
 from tablewright.sources.seeds import seed
 
-STATUSES = ["placed", "shipped", "completed", "return_pending", "returned"]
-METHODS = ["credit_card", "coupon", "bank_transfer", "gift_card"]
+FOLDER = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
-def raw(tmp_path_factory):
-    """The raw rows, and the files they are in."""
-    rng = random.Random(11)
-    customers = [(i, f"First{i}", "L.") for i in range(1, 101)]
-    orders = [(i, rng.randint(1, 70), date(2018, 1, 1) + timedelta(days=rng.randint(0, 98)), rng.choice(STATUSES))
-              for i in range(1, 100)]
-    payments = [(i, i if i <= 99 else rng.randint(1, 99), rng.choice(METHODS), rng.randint(0, 3000))
-                for i in range(1, 114)]
-    folder = tmp_path_factory.mktemp("raw")
-    for name, header, data in (("raw_customers", "id,first_name,last_name", customers),
-                               ("raw_orders", "id,user_id,order_date,status", orders),
-                               ("raw_payments", "id,order_id,payment_method,amount", payments)):
-        (folder / f"{name}.csv").write_text("\n".join([header] + [",".join(map(str, r)) for r in data]) + "\n")
-    return folder, customers, orders, payments
-
-
-def build(spark, ns, folder):
-    seeds = {n: seed(spark, str(folder / f"{n}.csv"), TableRef(n, ns))
-             for n in ("raw_customers", "raw_orders", "raw_payments")}
-    full = lambda n: TableRef(n, ns).sql
-    customers = tables.materialize_view(
-        spark, f"SELECT id AS customer_id, first_name, last_name FROM {full('raw_customers')}",
-        TableRef("stg_customers", ns))
-    orders = tables.materialize_view(
-        spark, f"SELECT id AS order_id, user_id AS customer_id, order_date, status FROM {full('raw_orders')}",
-        TableRef("stg_orders", ns))
-    payments = tables.materialize_view(
-        spark, "SELECT id AS payment_id, order_id, payment_method, amount / 100 AS amount "
-               f"FROM {full('raw_payments')}", TableRef("stg_payments", ns))
-
-    def orders_model():
-        paid = payments.groupBy("order_id").agg(
-            *[F.sum(F.when(F.col("payment_method") == m, F.col("amount")).otherwise(0)).alias(f"{m}_amount")
-              for m in METHODS], F.sum("amount").alias("amount"))
-        return orders.join(paid, "order_id", "left")
-
-    def customers_model():
-        dates = orders.groupBy("customer_id").agg(
-            F.min("order_date").alias("first_order"), F.max("order_date").alias("most_recent_order"),
-            F.count("order_id").alias("number_of_orders"))
-        value = payments.join(orders, "order_id", "left").groupBy("customer_id").agg(
-            F.sum("amount").alias("customer_lifetime_value"))
-        return customers.join(dates, "customer_id", "left").join(value, "customer_id", "left")
-
-    final = contract(customers_model(), "customer_id bigint, first_name string, last_name string, first_order date, "
-                     "most_recent_order date, number_of_orders bigint, customer_lifetime_value double")
-    return seeds, payments, tables.materialize_table(final, TableRef("customers", ns)), \
-        tables.materialize_table(orders_model, TableRef("orders", ns))
-
-
-def test_project(spark, ns, raw):
-    folder, raw_customers, raw_orders, raw_payments = raw
-    seeds, payments, customers, orders = build(spark, ns, folder)
-    assert [s.count() for s in seeds.values()] == [100, 99, 113]
-    assert dict(seeds["raw_orders"].dtypes) == {
-        "id": "bigint", "user_id": "bigint", "order_date": "date", "status": "string"}
-
-    expected = {}
-    by_order = {o[0]: o for o in raw_orders}
-    for cid, first, last in raw_customers:
-        days = [o[2] for o in raw_orders if o[1] == cid]
-        cents = [p[3] for p in raw_payments if by_order[p[1]][1] == cid]
-        expected[cid] = (first, last, min(days, default=None), max(days, default=None), len(days) or None,
-                         round(sum(cents) / 100, 2) if cents else None)
-    got = {r[0]: (*r[1:6], round(r[6], 2) if r[6] is not None else None) for r in customers.collect()}
-    assert got == expected
-    assert orders.count() == 99 and orders.columns[-1] == "amount"
-    assert orders.filter("abs(credit_card_amount + coupon_amount + bank_transfer_amount + gift_card_amount - amount)"
-                         " > 0.001").isEmpty()
-
-    tests = [
-        checks.unique(customers, "customer_id"), checks.not_null(customers, "customer_id"),
-        checks.unique(orders, "order_id"), checks.not_null(orders, "order_id"),
-        checks.relationships(orders, "customer_id", customers, "customer_id"),
-        checks.accepted_values(orders, "status", STATUSES),
-        checks.accepted_values(payments, "payment_method", METHODS),
-        *[checks.not_null(orders, f"{m}_amount") for m in METHODS],
-    ]
+def grades(tmp_path_factory):
+    """A hand-kept list: what a balance is called."""
+    file = tmp_path_factory.mktemp("seeds") / "grades.csv"
+    file.write_text("grade,from_balance\nred,-1000\namber,0\ngreen,5000\n")
+    return str(file)
+
+
+def build(spark, ns, grades):
+    listed = seed(spark, grades, TableRef("grades", ns))
+    suppliers = tables.materialize_view(
+        spark, f"SELECT s_suppkey AS supplier, s_nationkey AS nation, s_acctbal AS balance FROM parquet.`{FOLDER}/supplier.parquet`",
+        TableRef("stg_suppliers", ns))
+    lines = parquet_table(spark, FOLDER, "lineitem").select(
+        F.col("l_suppkey").alias("supplier"), F.col("l_returnflag").alias("flag"), F.round(F.col("l_quantity")).cast("bigint").alias("pieces"))
+
+    def supplier_model():
+        graded = suppliers.join(F.broadcast(listed), F.col("balance") >= F.col("from_balance"), "left").groupBy("supplier", "nation").agg(
+            F.max_by("grade", "from_balance").alias("grade"))
+        moved = lines.groupBy("supplier").agg(
+            F.sum("pieces").alias("pieces"), F.sum(F.when(F.col("flag") == "R", F.col("pieces")).otherwise(0)).alias("returned"))
+        return contract(graded.join(moved, "supplier", "left"),
+                        "supplier bigint, nation int, grade string, pieces bigint, returned bigint")
+
+    return listed, suppliers, tables.materialize_table(supplier_model, TableRef("suppliers", ns), Storage(partition_by="grade"))
+
+
+def test_project(spark, ns, grades):
+    raw = parquet_table(spark, FOLDER, "supplier").collect()
+    listed, suppliers, built = build(spark, ns, grades)
+    assert dict(listed.dtypes)["from_balance"] in ("int", "bigint") and suppliers.count() == len(raw)
+    pieces, returned = defaultdict(int), defaultdict(int)
+    for line in parquet_table(spark, FOLDER, "lineitem").collect():
+        pieces[line["l_suppkey"]] += round(line["l_quantity"])
+        returned[line["l_suppkey"]] += round(line["l_quantity"]) * (line["l_returnflag"] == "R")
+    grade = lambda b: "green" if b >= 5000 else "amber" if b >= 0 else "red"
+    expected = {r["s_suppkey"]: (grade(r["s_acctbal"]), pieces.get(r["s_suppkey"]), returned.get(r["s_suppkey"])) for r in raw}
+    assert {r["supplier"]: (r["grade"], r["pieces"], r["returned"]) for r in built.collect()} == expected
+
+    tests = [checks.unique(built, "supplier"), checks.not_null(built, "grade"),
+             checks.accepted_values(built, "grade", ["red", "amber", "green"]),
+             checks.relationships(parquet_table(spark, FOLDER, "lineitem"), "l_suppkey", built, "supplier")]
     assert [tuple(checks.evaluate(t).first()) for t in tests] == [(0, False, False)] * len(tests)
     # Built again, nothing changes.
-    again = build(spark, ns, folder)[2]
-    assert tuple(checks.relations_equal(again, customers).first()) == (0, 0)
+    again = build(spark, ns, grades)[2]
+    assert tuple(checks.relations_equal(again, built).first()) == (0, 0)

@@ -157,3 +157,11 @@ def test_scd_id_text(spark):
     row = spark.sql("select 'a' as a, cast(null as string) as b, 3 as c").select(
         scd_id(F.col("a"), F.col("b"), F.col("c")), F.md5(F.lit("a||3"))).first()
     assert row[0] == row[1]
+
+
+def test_names_that_differ_in_case_are_the_same_column(spark):
+    config = SnapshotConfig("ID", "check", check_cols=["Name"])
+    first = snapshot_init(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"), config, TIMES[0])
+    again = snapshot_next(first, spark.createDataFrame([(1, "z"), (3, "c")], "Id int, NAME string"), config, TIMES[1])
+    assert again.columns == first.columns
+    assert rows(again.filter("scd_valid_to is null"), "id", "name") == [(1, "z"), (2, "b"), (3, "c")]
