@@ -208,7 +208,7 @@ def create_aggregate(base: DataFrame, ref: TableRef | str, view: AggregateView)
 
 def refresh_incremental(
     ref: TableRef | str, changes: DataFrame, view: AggregateView,
-    base: DataFrame | None = None, tag: str = "",
+    base: DataFrame | None = None, tag: str | None = None,
 ) -> DataFrame:
     """Bring a stored aggregate up to date from changes alone.
 

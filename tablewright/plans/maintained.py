@@ -116,6 +116,19 @@ def extremes(spark: SparkSession, sf: str) -> DataFrame:
         refresh_incremental(ref, feed(spark, sf), SPANS, base=state_after(spark, sf)), SPANS)
 
 
+@query("mv_incremental_two_streams", _TOTALS_SQL)
+def two_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """Two feeds, each with a checkpoint of its own, bring the changes of one half of the customers."""
+    ref = TableRef("totals", scratch_namespace(spark, "mv"))
+    create_aggregate(state_before(spark, sf), ref, TOTALS)
+    changes = feed(spark, sf)
+    for half in range(2):
+        arriving = scratch_path(spark, "feed")
+        changes.filter(F.col("o_orderkey") % 2 == half).write.parquet(arriving)
+        state = stream_refresh(spark, arriving, changes.schema, ref, TOTALS, scratch_path(spark, "feed-checkpoint"), new_stream=True)
+    return aggregate_result(state, TOTALS)
+
+
 @query("mv_incremental_stream", _TOTALS_SQL)
 def streamed(spark: SparkSession, sf: str) -> DataFrame:
     """The feed arrives as files; a second call on the same checkpoint finds nothing new."""

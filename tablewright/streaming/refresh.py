@@ -1,24 +1,42 @@
-"""A maintained aggregate that follows a change feed as a stream."""
+"""A maintained aggregate that follows change feeds as streams."""
 
 from __future__ import annotations
 
+import json
 import re
+from concurrent.futures import Future
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from tablewright import tables
 from tablewright.naming import TableRef
 from tablewright.operators.views import AggregateView, refresh_incremental
 
-_VERSION_TAG = re.compile(r"/v_batch(\d+)_[0-9a-f]+/?$")
+_POSITION = re.compile(r"_s([0-9a-f]{12})n(\d+)")
 
 
-def applied_batch(spark: SparkSession, ref: TableRef) -> int:
-    """The last stream batch in the stored state, -1 for none.  It is part of the version's
-    directory name, so state and number change in one catalog update."""
-    found = _VERSION_TAG.search(tables.location(spark, ref))
-    return int(found.group(1)) if found else -1
+def applied_batches(spark: SparkSession, ref: TableRef) -> dict[str, int]:
+    """The last batch of each stream that is in the stored state.
+
+    They are part of the version's directory name, so state and positions change in one catalog
+    update; other rewrites of the table carry the name on.
+    """
+    return {stream: int(batch) for stream, batch in _POSITION.findall(tables.version_tag(spark, ref))}
+
+
+def _stream(query_id: str) -> str:
+    return query_id.replace("-", "")[:12]
+
+
+def _known_stream(spark: SparkSession, checkpoint: str) -> str | None:
+    """The stream that a checkpoint belongs to; None for a new one."""
+    try:
+        lines = spark.read.text(f"{checkpoint}/metadata").collect()
+    except AnalysisException:
+        return None
+    return _stream(json.loads(lines[0][0])["id"]) if lines else None
 
 
 def stream_refresh(
@@ -29,26 +47,37 @@ def stream_refresh(
     view: AggregateView,
     checkpoint: str,
     files_per_batch: int | None = None,
+    new_stream: bool = False,
 ):
     """Apply every change file that arrived since the last call, then stop.
 
-    A batch that is delivered again after a lost driver is recognised by its number and
-    skipped, so no change is counted twice.
+    A batch that is delivered again after a lost driver is recognised by its stream and number and
+    skipped, so no change is counted twice.  Streams are told apart by their checkpoints.  Where the
+    state follows streams already, a checkpoint it does not know is refused: it is either that of a
+    further feed, which ``new_stream=True`` says, or takes the place of a lost one, whose changes
+    would count twice.
     """
     ref = TableRef.parse(ref)
     if view.extremes:
         raise ValueError("min and max need the base rows; refresh them in batch")
+    applied = applied_batches(spark, ref)
+    if applied and not new_stream and _known_stream(spark, checkpoint) not in applied:
+        raise ValueError(f"{ref.sql} does not know the stream of {checkpoint}; new_stream=True adds a further feed")
     reader = spark.readStream.schema(feed_schema).format("parquet")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    started: Future[str] = Future()
 
     def apply(changes: DataFrame, batch_id: int) -> None:
-        if batch_id > applied_batch(changes.sparkSession, ref):
-            refresh_incremental(ref, changes, view, tag=f"_batch{batch_id}")
+        stream, done = started.result(), applied_batches(changes.sparkSession, ref)
+        if batch_id > done.get(stream, -1):
+            done[stream] = batch_id
+            refresh_incremental(ref, changes, view, tag="".join(f"_s{s}n{n}" for s, n in sorted(done.items())))
 
     query = (
         reader.load(feed_path).writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+    started.set_result(_stream(query.id))
     query.awaitTermination()
     return tables.fresh(spark, ref)

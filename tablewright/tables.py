@@ -7,6 +7,7 @@ failed or retried job leaves the table as it was.
 
 from __future__ import annotations
 
+import re
 import threading
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from tablewright.naming import TableRef, as_list, quote, resolve_columns, sql_text
 
 SHARED_PROPERTY = "tablewright.shared_location"
+_VERSION = re.compile(r"/v([^/]*)_[0-9a-f]{12}/?$")
 FORMATS = ("csv", "parquet", "delta")
 
 # More touched partitions than this are not worth naming in a scan filter.
@@ -191,12 +193,19 @@ def write_table(df: DataFrame, ref: TableRef | str, storage: Storage = Storage()
     return spark.table(ref.sql)
 
 
-def rewrite(df: DataFrame, ref: TableRef, tag: str = "") -> DataFrame:
-    """Replace a table's rows, keeping its layout, options, properties and comments.
+def version_tag(spark: SparkSession, ref: TableRef) -> str:
+    """What the directory of a table's version says beside its random name."""
+    found = _VERSION.search(location(spark, ref))
+    return found[1] if found else ""
+
+
+def rewrite(df: DataFrame, ref: TableRef, tag: str | None = None) -> DataFrame:
+    """Replace a table's rows, keeping its layout, options, properties, comments and (else than given) its tag.
 
     ``df`` may read the table itself: the new version is a directory of its own.
     """
     spark = df.sparkSession
+    tag = version_tag(spark, ref) if tag is None else tag
     about = {f.name.lower(): f.metadata for f in spark.table(ref.sql).schema if f.metadata}
     documented = df.select(*[
         F.col(quote(c)).alias(c, metadata=about[c.lower()]) if c.lower() in about else F.col(quote(c))

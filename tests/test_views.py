@@ -12,7 +12,7 @@ from tablewright.operators.views import (
     AggregateView, aggregate_result, aggregate_state, apply_changes, change_feed, create_aggregate,
     materialize_mv, refresh_incremental, require_table_sources,
 )
-from tablewright.streaming.refresh import applied_batch, stream_refresh
+from tablewright.streaming.refresh import applied_batches, stream_refresh
 from tablewright.workspace import scratch_path
 
 SCHEMA = "id bigint, name string, amount bigint"
@@ -120,10 +120,20 @@ def test_stream_counts_every_change_once(spark, ns):
         for _ in range(2):
             state = stream_refresh(spark, path, feed.schema, ref, sums, checkpoint, files_per_batch=1)
         assert rows(aggregate_result(state, sums)) == rows(aggregate_result(aggregate_state(new, sums), sums))
-    assert applied_batch(spark, ref) == 1
-    # A lost checkpoint delivers the batches again under numbers already applied.
-    again = stream_refresh(spark, path, feed.schema, ref, sums, scratch_path(spark, "checkpoint"), files_per_batch=1)
-    assert rows(aggregate_result(again, sums)) == rows(aggregate_result(aggregate_state(states[-1], sums), sums))
+    assert list(applied_batches(spark, ref).values()) == [1]
+    # Another checkpoint would deliver the batches again: it is refused, also after a rewrite of the table.
+    tables.rewrite(tables.fresh(spark, ref), ref)
+    with pytest.raises(ValueError, match="does not know the stream"):
+        stream_refresh(spark, path, feed.schema, ref, sums, scratch_path(spark, "checkpoint"), files_per_batch=1)
+    # A further feed starts at its own batch 0, and nothing of either is skipped or counted twice.
+    further, its_checkpoint = scratch_path(spark, "feed"), scratch_path(spark, "checkpoint")
+    last = states[-1].union(spark.createDataFrame([states[-1].first()], states[-1].schema).withColumn("id", F.lit(999).cast("bigint")))
+    change_feed(states[-1], last, "id").coalesce(1).write.parquet(further)
+    for fresh_stream in (True, False):
+        state = stream_refresh(spark, further, feed.schema, ref, sums, its_checkpoint, new_stream=fresh_stream)
+        state = stream_refresh(spark, path, feed.schema, ref, sums, checkpoint, files_per_batch=1)
+        assert rows(aggregate_result(state, sums)) == rows(aggregate_result(aggregate_state(last, sums), sums))
+    assert sorted(applied_batches(spark, ref).values()) == [0, 1]
     with pytest.raises(ValueError, match="min and max"):
         stream_refresh(spark, path, feed.schema, ref, VIEW, checkpoint)
 
