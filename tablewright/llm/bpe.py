@@ -15,7 +15,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import public_tokenizers
@@ -28,7 +28,7 @@ from tablewright.llm.common import prepare, whole_text
 from tablewright.llm.registry import query, table
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHED = 200_000  # stretches remembered, per generation
+CACHED = 600_000  # stretches and words remembered, per generation (of two)
 LONG = 64  # longer stretches are not remembered
 
 
@@ -169,24 +169,28 @@ class Encoder:
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.v.special, key=len, reverse=True))) + ")") \
             if self.v.special else None
         self.transducer = Transducer(self.v)
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> tuple[int, ...]:
         data = word.encode()
-        return [*self.transducer.feed(data), *self.transducer.finish()]
+        return *self.transducer.feed(data), *self.transducer.finish()
 
-    def _ids(self, text: str) -> list[int]:
-        return [i for word in self.words.findall(text) for i in self._word(word)]
+    def _ids(self, text: str) -> tuple[int, ...]:
+        words = self.words.findall(text)
+        return self._word(text) if len(words) == 1 else tuple(i for word in words for i in self._known(word, self._word))
 
-    def _stretch(self, text: str) -> list[int]:
-        ids = self.old.get(text)
+    def _known(self, text: str, make: Callable[[str], tuple[int, ...]]) -> tuple[int, ...]:
+        """The ids of a short text, remembered; old ones that are asked for again become young."""
+        ids = self.young.get(text)
         if ids is None:
-            ids = self._ids(text)
-        if len(text) <= LONG:
-            if len(self.young) >= CACHED:
-                self.old, self.young = self.young, {}
-            self.young[text] = ids
+            ids = self.old.get(text)
+            if ids is None:
+                ids = make(text)
+            if len(text) <= LONG:
+                if len(self.young) >= CACHED:
+                    self.old, self.young = self.young, {}
+                self.young[text] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
@@ -196,11 +200,11 @@ class Encoder:
             if i % 2:
                 ids.append(self.v.special[part])
                 continue
-            get, stretch = self.young.get, self._stretch
+            get = self.young.get
             for piece in _stretches(part):
                 found = get(piece)
                 if found is None:
-                    found = stretch(piece)
+                    found = self._known(piece, self._ids)
                     get = self.young.get
                 ids += found
         return ids
