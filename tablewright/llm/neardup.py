@@ -1,17 +1,22 @@
 """Near-duplicate texts by bottom-k sketches of one hash function.
 
 A document's set is its distinct five-word shingles, as 64-bit hashes.  The sketch keeps the K smallest.  Documents
-are first folded into classes of equal word sequences.  Inverted lists of the LISTED smallest values propose pairs;
-the union of two sketches estimates their similarity and drops hopeless ones; the full sets decide.
+are first folded into classes of equal word sequences.  Inverted lists of retained values propose pairs; the union
+of two sketches estimates their similarity and drops hopeless ones; the full sets decide.
+
+Similar documents share most of the COUNTED smallest values, so they also share some of their rarest ones: only
+these are listed.  A document of its own has none that occurs twice, and text that many documents contain, being
+frequent, is listed only by documents that consist of little else.
 
 A list is never multiplied out while a part of it can be linked cheaper: in a few rounds each list compares its
 members with one pivot only, and lists whose members have all become connected are left alone.  What remains is
-compared pairwise between different components; a list that is still long is first divided by a second and a third
-shared value, which two similar documents have with near certainty.
+compared pairwise between different components, each pair once, unless the number of shingles that a document has
+alone rules the pair out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +30,12 @@ from tablewright.llm.components import components
 from tablewright.llm.registry import query, table
 
 WORDS = 5
-# Values kept, those that are listed, and how far an estimate may lie below the threshold.  Of two sets with
-# similarity 0.8 all LISTED values differ with a chance of 0.2 ** 12 = 4e-9, and fewer than three agree with 5e-6
-# (0.85: 1e-10 and 3e-7); the estimate from K values has a deviation of 0.05, so that the margin is five of them.
-K, LISTED, MARGIN = 64, 12, 0.27
-ROUNDS = 3
-SHORT = 64  # longest list that is compared pairwise without dividing it
+# Values kept, values that lists are made of, and how far an estimate may lie below the threshold: five deviations of
+# an estimate from K values.  See ``_least_shared``.
+K, COUNTED, MARGIN = 64, 32, 0.27
+DEPTH = 3  # values that similar documents share among those listed
+ROUNDS = 2
+BLOCK = 512  # members of a list that one task compares with all
 
 
 def shingle_set(text: bytes) -> tuple[np.ndarray, bytes]:
@@ -66,6 +71,55 @@ def _estimate(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(F.array_intersect(a, b), union)) / F.size(union)
 
 
+def _least_shared(n: Column, percent: int) -> Column:
+    """How many of the COUNTED smallest values a set of n shares with any similar one.
+
+    All of a small set is counted, so this follows from its size (less what the other set may have beyond COUNTED);
+    of a larger one the number is binomial, and five deviations below its mean are left out (3e-7).
+    """
+    p = percent / 100
+    sure = F.ceil(n * p) - F.greatest(F.lit(0), F.floor(n / p) - COUNTED)
+    return F.when(n <= COUNTED, F.greatest(F.lit(1), sure)).otherwise(int(COUNTED * p - 5 * math.sqrt(COUNTED * p * (1 - p))))
+
+
+def _lists_of(classes: DataFrame, percent: int) -> DataFrame:
+    """v, c, copies: of each class the values that it must share with a similar one, less those that no other has.
+
+    Two classes that share t of their values share DEPTH of the size - t + DEPTH rarest of either.
+    """
+    values = classes.select("c", F.explode(F.slice("sketch", 1, COUNTED)).alias("v"))
+    counts = values.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = values.join(counts, "v").groupBy("c").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared"))
+    size = F.least(F.col("n"), F.lit(COUNTED))
+    t = _least_shared(F.col("n"), percent)
+    own = size - F.size("shared")  # the rarest of all: values that no other class has
+    listed = shared.join(classes.select("c", "copies", "n"), "c").withColumn(
+        "shared", F.slice("shared", F.lit(1), F.greatest(F.lit(0), size - t + F.least(F.lit(DEPTH), t) - own).cast("int")))
+    return listed.filter(F.size("shared") >= F.least(F.lit(DEPTH), t)).select(
+        "c", "copies", F.explode("shared.v").alias("v"))
+
+
+def _with_shared(listed: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Adds n and s: how many shingles a class has, and how many of them another listed class has as well."""
+    own = sets.select("c", F.explode("shingles").alias("x")).groupBy("x").agg(
+        F.count("*").alias("df"), F.min("c").alias("c")).filter("df = 1").groupBy("c").agg(F.count("*").alias("own"))
+    sizes = classes.select("c", "n").join(listed.select("c").distinct(), "c").join(own, "c", "left").select(
+        "c", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("s"))
+    return listed.join(sizes, "c")
+
+
+def _may_link(n_a: Column, s_a: Column, n_b: Column, s_b: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be similar: what is common is at most the smaller number of shared shingles."""
+    return (100 + percent) * F.least(s_a, s_b) >= percent * (n_a + n_b)
+
+
+def _hopeful_rows(listed: DataFrame, percent: int) -> DataFrame:
+    """Without the rows that could not link even with the smallest and best shared sets of their list."""
+    best = listed.groupBy("v").agg(F.min("n").alias("n_min"), F.max("s").alias("s_max"))
+    n_b = F.greatest(F.col("n_min"), F.ceil(F.col("n") * percent / 100))
+    return listed.join(best, "v").filter(_may_link(F.col("n"), F.col("s"), n_b, F.col("s_max"), percent)).drop("n_min", "s_max")
+
+
 def _sides(pairs: DataFrame, values: DataFrame, columns: list[str]) -> DataFrame:
     """``pairs`` with the columns of both sides, as x_a and x_b."""
     for side in "ab":
@@ -117,10 +171,20 @@ def _open_lists(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(mixed.filter("lo < hi").select(key, "length"), key)
 
 
-def _cross(rows: DataFrame, key: str) -> DataFrame:
-    """Pairs of different components within each list."""
-    a, b = (rows.select(key, F.col("c").alias(s), F.col("comp").alias(f"comp_{s}")) for s in "ab")
-    return a.join(b, key).filter("a < b and comp_a <> comp_b").select("a", "b", "comp_a", "comp_b")
+def _cross(rows: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a list and can be similar, each from the first list they share.
+
+    A long list is dealt out in blocks of one side.
+    """
+    values = listed.groupBy("c").agg(F.array_sort(F.collect_list("v")).alias("values"))
+    rows = rows.join(values, "c").withColumn("blocks", F.ceil(F.col("length") / BLOCK).cast("int"))
+    side = lambda x: [F.col(y).alias(f"{y}_{x}") for y in ("comp", "n", "s", "values")]
+    a = rows.select("v", F.pmod(F.xxhash64("c"), "blocks").cast("int").alias("block"), F.col("c").alias("a"), *side("a"))
+    b = rows.select("v", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("c").alias("b"), *side("b"))
+    able = _may_link(a["n_a"], a["s_a"], b["n_b"], b["s_b"], percent)
+    first = F.array_min(F.array_intersect(a["values_a"], b["values_b"])) == a["v"]
+    return a.join(b, (a["v"] == b["v"]) & (a["block"] == b["block"]) & (a["a"] < b["b"]) & (a["comp_a"] != b["comp_b"])
+                  & able & first).select("a", "b", "comp_a", "comp_b")
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -138,31 +202,29 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, id_col: str = "doc_id
     folded = sketches.filter("n > 0 and doc is not null").groupBy("digest").agg(
         F.min("doc").alias("c"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = stored(folded, "near-classes")
-    listed = classes.select("c", "copies", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
-    counts = listed.groupBy("v").agg(F.count("*").alias("length")).filter("length > 1").select("v")
-    listed = stored(listed.join(counts, "v"), "near-lists")
-    # Similar documents share more than one value, unless they have only one.
-    able = listed.groupBy("c").agg(F.count("*").alias("shared"), F.first("n").alias("n")).filter(
-        "shared >= least(2, n)").select("c")
-    able = stored(able, "near-able")
-    listed = listed.join(able, "c").select("v", "c", "copies")
+    listed = stored(_lists_of(classes, percent), "near-lists")
+    able = listed.select("c").distinct()
     needed = texts.join(able.select(F.col("c").alias("doc")), "doc")
     sets = stored(needed.select(F.col("doc").alias("c"), "text").mapInArrow(_sets, "c long, shingles array<long>"), "near-sets")
     sets = sets.dropDuplicates(["c"]) if _repeats(sets) else sets
     linker = _Linker(classes, sets, percent)
 
-    rows = stored(listed, "near-lists")
+    listed = rows = stored(_hopeful_rows(_with_shared(listed, classes, sets), percent), "near-hopeful")
     for number in range(ROUNDS):
-        rows = stored(_open_lists(linker.labelled(rows.select("v", "c", "copies")), "v"), "near-open")
+        rows = stored(_open_lists(linker.labelled(rows.select("v", "c", "copies", "n", "s")), "v"), "near-open")
         if rows.isEmpty():
             break
         # The pivot: at first the member with most copies, then one by chance.
         order = F.struct(-F.col("copies"), "c") if number == 0 else F.struct(F.xxhash64("c", F.lit(number)), "c")
-        pivots = rows.groupBy("v").agg(F.min(F.struct(order, F.struct("c", "comp"))).alias("least"))
-        pivots = pivots.select("v", *[F.col("least")["col2"][x].alias(y) for x, y in (("c", "a"), ("comp", "comp_a"))])
-        linker.link(rows.join(pivots, "v").select("a", F.col("c").alias("b"), "comp_a", F.col("comp").alias("comp_b"))
-                    .filter("comp_a <> comp_b"))
-    _compare_rest(linker, rows, classes)
+        pivots = rows.groupBy("v").agg(F.min(F.struct(order, F.struct("c", "comp", "n", "s"))).alias("least"))
+        pivots = pivots.select("v", *[F.col("least")["col2"][x].alias(y) for x, y in (
+            ("c", "a"), ("comp", "comp_a"), ("n", "n_a"), ("s", "s_a"))])
+        linker.link(rows.join(pivots, "v").filter(
+            (F.col("comp") != F.col("comp_a")) & _may_link(F.col("n_a"), F.col("s_a"), F.col("n"), F.col("s"), percent)).select(
+            "a", F.col("c").alias("b"), "comp_a", F.col("comp").alias("comp_b")))
+    rows = stored(_open_lists(linker.labelled(rows.select("v", "c", "copies", "n", "s")), "v"), "near-open")
+    if not rows.isEmpty():
+        linker.link(_cross(rows, listed, percent))
 
     found = classes.select("digest", "c")
     found = linker.labelled(found).select("digest", F.col("comp").alias("component"))
@@ -177,22 +239,6 @@ def _repeats(sets: DataFrame) -> bool:
     return not sets.groupBy("c").count().filter("count > 1").isEmpty()
 
 
-def _compare_rest(linker: _Linker, rows: DataFrame, classes: DataFrame) -> None:
-    """Every pair of different components that shares a list, after dividing long lists twice."""
-    rows = rows.select("v", "c").withColumn("key", F.struct("v"))
-    for depth in range(3):
-        rows = stored(_open_lists(linker.labelled(rows.select("key", "c", "v")), "key"), "near-rest")
-        if rows.isEmpty():
-            return
-        last = depth == 2
-        linker.link(_cross(rows if last else rows.filter(F.col("length") <= SHORT), "key"))
-        if not last:
-            values = classes.select("c", F.slice("sketch", 1, LISTED).alias("values"))
-            longer = rows.filter(F.col("length") > SHORT).join(values, "c").select(
-                "c", "key", F.explode(F.filter("values", lambda u: u > F.col("v"))).alias("v"))
-            rows = longer.select("c", "v", F.struct("key", "v").alias("key"))
-
-
 def drop_near_duplicates(docs: DataFrame, *, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, all columns unchanged: of each group the document with the smallest id."""
     found = near_duplicates(docs, percent=percent, id_col=id_col, text_col=text_col)

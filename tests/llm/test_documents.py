@@ -109,7 +109,7 @@ def test_near_duplicates_of_nothing(nothing):
 
 def test_a_large_group_of_near_copies_and_a_common_passage(spark, monkeypatch):
     """Chains of edits, and texts that consist mostly of one passage: nothing is lost, nothing else is linked."""
-    monkeypatch.setattr(neardup, "SHORT", 4)
+    monkeypatch.setattr(neardup, "BLOCK", 7)
     draw, base, passage = random.Random(7), prose(11, 90).split(), prose(12, 60)
     rows = []
     for i in range(60):
