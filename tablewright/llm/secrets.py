@@ -22,6 +22,8 @@ KINDS = {
 }
 # The kind the method adds: long runs that mix digits, capitals and small letters.
 OPAQUE = r"[A-Za-z0-9+/_=-]{32,}"
+# Owners, each with a text of its own, from which on training text keeps a value.
+WIDELY = 5
 SALTS = 8
 
 
@@ -69,28 +71,33 @@ def candidate_spans(docs: DataFrame, id_col: str, text_col: str, owner_col: str,
                        F.when(F.col("x").isNotNull(), F.md5("x.value")).alias("hash"))
 
 
-def ownership(spans: DataFrame) -> DataFrame:
+def ownership(spans: DataFrame, by_text: bool = False) -> DataFrame:
     """hash, owners, repos: how many distinct owners and (owner, repository) pairs hold each value.
 
     Pairs are made distinct before they are counted, so a value copied into a third of all documents arrives as a
-    few rows.  A null owner or repository counts as one of its own.
+    few rows.  A null owner or repository counts as one of its own.  ``by_text``: equal texts are one text, of the
+    smallest of their pairs, so mirrors of a text do not add owners.
     """
     pairs = spans.filter("hash is not null").select(
-        "hash", F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repo", F.lit("")).alias("repo")).distinct()
+        "hash", "fp", F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repo", F.lit("")).alias("repo"))
+    if by_text:
+        pairs = pairs.groupBy("hash", "fp").agg(F.min(F.struct("owner", "repo")).alias("x")).select("hash", "x.owner", "x.repo")
+    pairs = pairs.select("hash", "owner", "repo").distinct()
     return (pairs.groupBy("hash", "owner").agg(F.count("*").alias("n"))
             .groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repos")))
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         repo_col: str = "lang", widely: int = 2) -> DataFrame:
+         repo_col: str = "lang", widely: int = 2, by_text: bool = False) -> DataFrame:
     """One row per input row: doc, fp, spans (array of start, kind, end, owners, repos, live), in order.
 
-    ``live``: fewer than ``widely`` owners hold the value.  Base kinds are always listed, opaque runs only if live.
+    ``live``: fewer than ``widely`` owners hold the value, counted as ``ownership`` says.  Repositories are counted
+    within owners, so there are never fewer of them and a bound on them would add nothing.  Base kinds are always listed, opaque runs only if live.
     Null and empty texts have no spans; rows that repeat (id, text) give equal results, once per row; documents of
     one id and different texts are kept apart; an empty table gives an empty result.  Other columns are not read.
     """
     spans = stored(candidate_spans(docs, id_col, text_col, owner_col, repo_col), "secret-spans")
-    counts = ownership(spans).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    counts = ownership(spans, by_text).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     found = (spans.filter("hash is not null").withColumn("salt", F.pmod(F.xxhash64("doc", "start"), F.lit(SALTS)))
              .join(counts, ["hash", "salt"]))
     found = found.select("doc", "fp", F.struct(
@@ -113,9 +120,9 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", *
     """The documents with every live-looking secret in ``text_col`` replaced by ``[secret]``; copied examples stay.
 
     All columns and rows are kept; texts without a live secret, null texts included, are unchanged.  Overlapping
-    spans are replaced as one.
+    spans are replaced as one.  Owners are counted over distinct texts unless ``options`` say otherwise.
     """
-    live = scan(docs, id_col=id_col, text_col=text_col, **options).select(
+    live = scan(docs, id_col=id_col, text_col=text_col, **{"by_text": True, **options}).select(
         F.col("doc").alias("_doc"), F.col("fp").alias("_fp"),
         F.filter("spans", lambda x: x["live"]).alias("_spans")).filter(F.size("_spans") > 0).distinct()
     joined = docs.withColumn("_key", F.md5(whole_text(text_col))).join(

@@ -328,6 +328,15 @@ def test_owners_tell_examples_from_live_secrets(spark):
     assert secrets.redact(df).count() == len(rows) and secrets.redact(df).columns == df.columns
 
 
+def test_mirrors_of_a_text_are_one_text(spark):
+    mirrored = f"password = {HEX}"
+    rows = [(i, mirrored, f"s{i}") for i in range(6)] + [(i, f"text {i}: secret=" + "copied99", f"s{i}") for i in range(10, 15)]
+    df = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, source string, lang string")
+    cleaned = {r["doc_id"]: r["text"] for r in secrets.redact(df, widely=5).collect()}
+    assert all(cleaned[i] == "[secret]" for i in range(6)) and all(cleaned[i] == t for i, t, _ in rows[6:])
+    assert secrets.redact(df, widely=6).filter("text like '%copied99%'").isEmpty()
+
+
 def test_spans_as_a_plain_search_finds_them(spark):
     draw = random.Random(9)
     parts = ["password", "api_key", "APIKEY", "token", "secret", "=", ": ", " = ", "'", "\"", "AKIA", "ABCDEFGH12345678", HEX, "abc", "ſ", "é",

@@ -43,3 +43,10 @@ def test_stages(spark, tmp_path):
     packed = corpus_pipeline.run(spark, folder).collect()
     assert {r["doc_id"] for r in packed} == set(kept[3])
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_a_key_reused_in_two_sources_is_cut(spark):
+    key = "AKIA" + "Q7" * 8
+    docs = spark.createDataFrame([(i, f"{prose(710 + i, 40)} {key}", "en", f"s{i}", 9) for i in range(2)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert all(r["text"].endswith(" [secret]") for r in corpus_pipeline.redact_secrets(spark, docs, "").collect())
