@@ -89,7 +89,7 @@ def unmatched(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataF
     """The batch rows whose key the target does not have.  The target is reduced to its keys; with a
     small batch they are looked up in it first, so that only matching ones are shuffled."""
     present = target.select(*keys)
-    if fits_broadcast(batch):
+    if fits_broadcast(batch.select(*keys)):
         present = present.join(F.broadcast(batch.select(*keys)), list(keys), "left_semi")
     return batch.join(present.distinct(), list(keys), "left_anti").select(*batch.columns)
 
@@ -230,7 +230,7 @@ def _merge_partitions(
     leaving: set[tuple] = set()
     if not set(parts) <= set(keys):
         wanted = stored.select(*keys).distinct()
-        wanted = F.broadcast(wanted) if fits_broadcast(stored) else wanted
+        wanted = F.broadcast(wanted) if fits_broadcast(stored.select(*keys)) else wanted
         leaving = _distinct_values(target.join(wanted, keys, "left_semi"), parts) - arriving
     touched = sorted(arriving | leaving, key=str)
     if len(touched) <= tables.MAX_NAMED_PARTITIONS:

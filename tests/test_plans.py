@@ -131,3 +131,22 @@ def test_only_proven_sizes_count_as_small(spark, tmp_path):
     grown = stored.select(F.explode(F.sequence(F.lit(1), F.col("id"))))
     assert proven_bytes(grown) is None and not fits_broadcast(grown)
     assert not fits_broadcast(stored.join(stored.withColumnRenamed("id", "x"), F.col("x") == F.col("id")))
+
+
+def test_compressible_rows_are_measured_before_a_broadcast(spark, tmp_path):
+    """Files of some kilobytes that hold 40 MB."""
+    folder = str(tmp_path / "t")
+    spark.range(40000).select("id", F.repeat(F.lit("x"), 1000).alias("v")).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    assert proven_bytes(stored) < BROADCAST_LIMIT and not fits_broadcast(stored)
+    assert fits_broadcast(stored.select("id")) and not fits_broadcast(stored.select("id", F.array("v")))
+    target = spark.range(100).select("id", F.lit("y").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = merge(target, stored, "id")
+        # Only the keys of the batch, which are small, are sent to all.
+        assert plan(result).count("BroadcastHashJoin") <= 1 and "SortMergeJoin" in plan(result)
+        assert result.count() == 40000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
