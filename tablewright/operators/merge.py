@@ -233,15 +233,12 @@ def _merge_partitions(
         wanted = F.broadcast(wanted) if fits_broadcast(stored.select(*keys)) else wanted
         leaving = _distinct_values(target.join(wanted, keys, "left_semi"), parts) - arriving
     touched = sorted(arriving | leaving, key=str)
-    if len(touched) <= tables.MAX_NAMED_PARTITIONS:
-        target = target.filter(tables.in_partitions(parts, touched))
+    target = tables.in_partitions(target, parts, touched)
     result = merge(target, stored, keys, **options)
     emptied: set[tuple] = set()
     if leaving and set(parts) & set(updates):
         # Rows may move to another partition; one that loses its last row must be cleared.
-        left_behind = result
-        if len(leaving) <= tables.MAX_NAMED_PARTITIONS:
-            left_behind = result.filter(tables.in_partitions(parts, sorted(leaving, key=str)))
+        left_behind = tables.in_partitions(result, parts, sorted(leaving, key=str))
         emptied = leaving - _distinct_values(left_behind, parts)
     table = tables.overwrite_partitions(result, ref)
     if emptied:

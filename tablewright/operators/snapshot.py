@@ -286,8 +286,7 @@ def _snapshot_periods(ref: TableRef, history: DataFrame, source: DataFrame, conf
     result = moved
     if periods:
         beside = history.filter(F.col(CLOSED).isNotNull())
-        if len(periods) <= tables.MAX_NAMED_PARTITIONS:
-            beside = beside.filter(tables.in_partitions([CLOSED], periods))
+        beside = tables.in_partitions(beside, [CLOSED], periods)
         result = moved.unionByName(beside)
     table = tables.overwrite_partitions(result, ref)
     if found and None not in found:

@@ -15,9 +15,11 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tablewright.naming import TableRef, as_list, quote, resolve_columns, sql_text
 
@@ -25,9 +27,6 @@ SHARED_PROPERTY = "tablewright.shared_location"
 _VERSION = re.compile(r"/v([^/]*)_[0-9a-f]{12}/?$")
 FORMATS = ("csv", "parquet", "delta")
 
-# More touched partitions than this are not worth naming in a scan filter.
-MAX_NAMED_PARTITIONS = 2000
-
 
 @dataclass(frozen=True)
 class Storage:
@@ -330,21 +329,28 @@ def overwrite_partitions(df: DataFrame, ref: TableRef) -> DataFrame:
     return spark.table(ref.sql)
 
 
-def in_partitions(columns: Sequence[str], values: Sequence[Sequence[object]]) -> Column:
-    """A filter on literal partition values, NULL included, that prunes at planning time."""
+def _one_of(column: str, values: set[object]) -> Column:
+    """Whether a column has one of the values, NULL included; never NULL."""
+    known, test = [v for v in values if v is not None], F.lit(False)
+    if known:
+        test = F.coalesce(F.col(quote(column)).isin(known), F.lit(False)) if None in values else F.col(quote(column)).isin(known)
+    return test | F.col(quote(column)).isNull() if None in values else test
+
+
+def in_partitions(df: DataFrame, columns: Sequence[str], values: Sequence[Sequence[object]]) -> DataFrame:
+    """The rows of some partitions, NULL included, however many there are.
+
+    A flat list for each column prunes at planning time.  Of several columns these lists admit every
+    combination, so the partitions themselves are then looked up; the catalog has them on the driver too.
+    """
+    for i, column in enumerate(columns):
+        df = df.filter(_one_of(column, {v[i] for v in values}))
     if len(columns) == 1:
-        known = [v[0] for v in values if v[0] is not None]
-        test = F.col(quote(columns[0])).isin(known) if known else F.lit(False)
-        if len(known) < len(values):
-            test = test | F.col(quote(columns[0])).isNull()
-        return F.coalesce(test, F.lit(False)) if not known else test
-    test = F.lit(False)
-    for row in values:
-        same = F.lit(True)
-        for column, value in zip(columns, row):
-            same = same & F.col(quote(column)).eqNullSafe(F.lit(value))
-        test = test | same
-    return test
+        return df
+    schema = StructType([StructField(f"__p{i}", df.schema[c].dataType) for i, c in enumerate(columns)])
+    wanted = df.sparkSession.createDataFrame([tuple(v) for v in values], schema)
+    same = reduce(lambda a, b: a & b, [F.col(quote(c)).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(columns)])
+    return df.join(F.broadcast(wanted), same, "left_semi")
 
 
 def _literal(value: object) -> str:
@@ -411,8 +417,7 @@ def update_where(spark: SparkSession, ref: TableRef | str, condition: Column,
     if in_place:
         # Only the partitions with such rows are rewritten; the catalog lists their values on the driver too.
         touched = [tuple(r) for r in df.filter(hit).select(*parts).distinct().collect()]
-        if len(touched) <= MAX_NAMED_PARTITIONS:
-            df = df.filter(in_partitions(parts, touched))
+        df = in_partitions(df, parts, touched)
     changed = df.select(*[
         F.when(hit, new[f.name].cast(f.dataType)).otherwise(F.col(quote(f.name))).alias(f.name)
         if f.name in new else F.col(quote(f.name)) for f in df.schema])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tablewright import Storage, TableRef, tables
 from tablewright.operators import profile
+from tablewright.operators.merge import merge_into
 from tablewright.operators.schema_change import SchemaChanged, evolve, widen_column
 from tablewright.operators import incremental as inc
 from tablewright.sources.files import find_table, source
@@ -121,6 +122,29 @@ def test_update_where(spark, ns, data):
     assert rows(moved, "id", "name") == [(2, "b"), (7, "b"), (7, "b")]
 
 
+def test_many_partitions_of_two_columns(spark, ns):
+    """400 of 420 partitions are changed, the others keep their files."""
+    ref = TableRef("grid", ns)
+    table = spark.range(400).selectExpr("id", "'old' as v", "id as a", "if(id = 7, null, id) as b")
+    table = table.union(spark.range(20).selectExpr("id + 1000", "'old'", "id", "id + 1")).coalesce(1)
+    tables.write_table(table, ref, Storage(partition_by=["a", "b"]))
+    files = lambda test: {r[0] for r in spark.table(ref.sql).filter(test).select("_metadata.file_path").collect()}
+    before = files("id >= 1000")
+    got = merge_into(ref, table.filter("id < 400").withColumn("v", F.lit("new")), "id")
+    assert got.count() == 420 and got.filter("(v = 'new') = (id < 400)").count() == 420
+    assert files("id >= 1000") == before
+    got = tables.update_where(spark, ref, F.col("id") < 400, {"v": F.lit("newer")})
+    assert got.count() == 420 and got.filter("(v = 'newer') = (id < 400)").count() == 420
+    assert files("id >= 1000") == before
+
+
+def test_partitions_are_named_however_many(spark):
+    df = spark.range(6000).selectExpr("nullif(id, 0) as a", "id % 2 as b")
+    assert tables.in_partitions(df, ["a"], [(None,), *[(i,) for i in range(1, 3000)]]).count() == 3000
+    assert tables.in_partitions(df, ["a", "b"], [(None, 0), *[(i, 0) for i in range(1, 3000)]]).count() == 1500
+    assert tables.in_partitions(df, ["a", "b"], []).count() == tables.in_partitions(df, ["a"], []).count() == 0
+
+
 def test_show(data):
     assert [r.id for r in tables.show(data, 2).collect()] == [1, 2]
     assert [r.id for r in tables.show(data.limit(0), 5).collect()] == []
