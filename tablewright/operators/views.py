@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright import tables
 from tablewright.guards import required
@@ -97,7 +98,8 @@ class AggregateView:
     """A grouped aggregate that can be kept up to date from changes.
 
     ``sums`` maps an output column to the column it adds up; ``count`` names the row count.
-    ``extremes`` maps an output column to ``("min" | "max", column)``.
+    ``extremes`` maps an output column to ``("min" | "max", column)``.  Sums of floating point cannot be
+    taken back exactly; like extremes they need the base rows.
     """
 
     group_by: Sequence[str] | str
@@ -120,6 +122,11 @@ class AggregateView:
         return [*as_list(self.group_by), self.count, *self.sums, *self.extremes]
 
 
+def floating_sums(state: DataFrame, view: AggregateView) -> list[str]:
+    """The sums of a state that are floating point: adding and subtracting would round, and NaN would stay."""
+    return [f.name for f in state.schema if f.name in view.sums and isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+
+
 def _sums(view: AggregateView, sign: Column) -> list[Column]:
     result = [F.sum(sign).cast("bigint").alias(view.count)]
     for name, column in view.sums.items():
@@ -158,12 +165,14 @@ def apply_changes(
 
     Changes are summed per group with their sign before anything is joined, so both sides of the
     join have one row per group.  A minimum or maximum cannot be taken back, so groups that lost a
-    row are recomputed from ``base`` (the rows after the changes); only those are read again.
+    row are recomputed from ``base`` (the rows after the changes); only those are read again.  With a
+    floating sum that is done for every group that changed.
     """
     keys = as_list(view.group_by)
     gone = F.col(CHANGE_TYPE).isin("delete", "update_preimage")
     sign = F.when(gone, -1).otherwise(1)
-    lost = F.max(F.when(gone, 1).otherwise(0)).alias("__lost")
+    floating = floating_sums(state, view)
+    lost = (F.lit(1) if floating else F.max(F.when(gone, 1).otherwise(0))).alias("__lost")
     functions = {"min": F.min, "max": F.max}
     arrivals = [functions[how](F.when(~gone, F.col(quote(c)))).alias(name)
                 for name, (how, c) in view.extremes.items()]
@@ -183,21 +192,23 @@ def apply_changes(
                for n, (how, _) in view.extremes.items()]
     merged = both.select(*picked, F.coalesce(F.col("new.__lost"), F.lit(0)).alias("__lost"))
     merged = merged.filter(F.col(quote(view.count)) > 0)
-    if not view.extremes:
+    recomputed = [*view.extremes, *floating]
+    if not recomputed:
         return merged.select(*state.columns)
     if base is None:
-        raise ValueError("min and max need the base rows, to recompute groups that lost one")
+        raise ValueError("min, max and floating sums need the base rows, to recompute groups that lost one")
     touched = delta.filter("__lost = 1").select(*keys).alias("t")
     if fits_broadcast(changes):
         touched = F.broadcast(touched)
     again = (
         base.alias("b").join(touched, _same_group("b", "t", keys), "left_semi")
-        .groupBy(*keys).agg(*_extremes(view)).alias("again")
+        .groupBy(*keys).agg(*_extremes(view), *[
+            F.coalesce(F.sum(F.col(quote(view.sums[n]))), F.lit(0)).cast(kinds[n]).alias(n) for n in floating]).alias("again")
     )
     fixed = merged.alias("m").join(again, _same_group("m", "again", keys), "left")
     return fixed.select(*[
         F.when(F.col("m.__lost") == 1, F.col(f"again.{quote(c)}")).otherwise(F.col(f"m.{quote(c)}")).alias(c)
-        if c in view.extremes else F.col(f"m.{quote(c)}").alias(c)
+        if c in recomputed else F.col(f"m.{quote(c)}").alias(c)
         for c in state.columns])
 
 
@@ -212,10 +223,11 @@ def refresh_incremental(
 ) -> DataFrame:
     """Bring a stored aggregate up to date from changes alone.
 
-    With extremes the changes are read twice, so they are stored beside the state first.
+    With extremes or floating sums the changes are read twice, so they are stored beside the state first.
     """
     ref = TableRef.parse(ref)
     spark = changes.sparkSession
     tables.require_table(spark, ref)
-    with tables.staged(changes, ref) if view.extremes else nullcontext(changes) as feed:
-        return tables.rewrite(apply_changes(tables.fresh(spark, ref), feed, view, base), ref, tag)
+    state = tables.fresh(spark, ref)
+    with tables.staged(changes, ref) if view.extremes or floating_sums(state, view) else nullcontext(changes) as feed:
+        return tables.rewrite(apply_changes(state, feed, view, base), ref, tag)

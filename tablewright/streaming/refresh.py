@@ -12,7 +12,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tablewright import tables
 from tablewright.naming import TableRef
-from tablewright.operators.views import AggregateView, refresh_incremental
+from tablewright.operators.views import AggregateView, floating_sums, refresh_incremental
 
 _POSITION = re.compile(r"_s([0-9a-f]{12})n(\d+)")
 
@@ -60,6 +60,9 @@ def stream_refresh(
     ref = TableRef.parse(ref)
     if view.extremes:
         raise ValueError("min and max need the base rows; refresh them in batch")
+    tables.require_table(spark, ref)
+    if floating_sums(tables.fresh(spark, ref), view):
+        raise ValueError("floating sums need the base rows; refresh them in batch, or sum decimals")
     applied = applied_batches(spark, ref)
     if applied and not new_stream and _known_stream(spark, checkpoint) not in applied:
         raise ValueError(f"{ref.sql} does not know the stream of {checkpoint}; new_stream=True adds a further feed")

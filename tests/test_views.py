@@ -91,6 +91,22 @@ def test_incremental_refresh_equals_recomputing(spark, old, new):
     assert rows(aggregate_result(state, VIEW)) == rows(aggregate_result(aggregate_state(after, VIEW), VIEW))
 
 
+@pytest.mark.parametrize("gone", [1e17, float("nan"), float("inf")])
+def test_floating_sums_are_recomputed(spark, ns, gone):
+    schema = "id int, name string, amount double"
+    old = spark.createDataFrame([(1, "a", 0.1), (2, "a", gone), (3, "b", 0.5), (4, "c", None)], schema)
+    new = spark.createDataFrame([(1, "a", 0.1), (3, "b", 0.5), (4, "c", None), (5, "b", 0.25)], schema)
+    view, ref = AggregateView("name", sums={"total": "amount"}), TableRef("floating", ns)
+    create_aggregate(old, ref, view)
+    feed = change_feed(old, new, "id")
+    with pytest.raises(ValueError, match="base rows"):
+        refresh_incremental(ref, feed, view)
+    with pytest.raises(ValueError, match="floating sums"):
+        stream_refresh(spark, scratch_path(spark, "feed"), feed.schema, ref, view, scratch_path(spark, "checkpoint"))
+    got = aggregate_result(refresh_incremental(ref, feed, view, base=new), view)
+    assert rows(got) == [("a", 1, 0.1), ("b", 2, 0.75), ("c", 1, None)]
+
+
 def test_refresh_of_a_hot_group(spark, ns, shuffled):
     """A third of the rows are in one group; half of them go."""
     base = spark.range(3000).select(
