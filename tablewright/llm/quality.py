@@ -155,15 +155,17 @@ def fit(docs: DataFrame, *, fit_rows: int = 8_000, id_col: str = "doc_id", text_
     def cast(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield batch.map(votes)
-    key = F.xxhash64(F.col(id_col).cast("string"))
-    voted = stored(docs.select(key.alias("key"), cast(whole_text(text_col)).alias("votes")), "quality-votes")
+    key, fp = F.xxhash64(F.col(id_col).cast("string")), F.md5(whole_text(text_col))
+    voted = stored(docs.select(key.alias("key"), fp.alias("fp"), cast(whole_text(text_col)).alias("votes")), "quality-votes")
     posterior = em({r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()})
     if not posterior:
         return json.dumps([[0.0] * BUCKETS, 0.0])
-    picked = voted.groupBy("key").agg(F.first("votes").alias("votes")).orderBy("key").limit(fit_rows)
+    # An id can have many rows: each of its texts counts once.
+    picked = voted.groupBy("key", "fp").agg(F.first("votes").alias("votes")).orderBy("key", "fp").limit(fit_rows)
     good = F.create_map(*[F.lit(x) for pair in posterior.items() for x in pair])
-    picked = picked.select("key", good[F.col("votes")].alias("good"))
-    rows = docs.select(key.alias("key"), whole_text(text_col).alias("text")).join(F.broadcast(picked), "key")
+    picked = picked.select("key", "fp", good[F.col("votes")].alias("good"))
+    rows = docs.select(key.alias("key"), fp.alias("fp"), whole_text(text_col).alias("text"))
+    rows = rows.join(F.broadcast(picked), ["key", "fp"]).dropDuplicates(["key", "fp"])
     return rows.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(_train_task, "model string").first()["model"]
 
 

@@ -212,6 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 12_000, id_col: s
              .filter(F.col("toxic").isNotNull() & ~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic")))
     known = known.withColumn("key", F.xxhash64(F.col("id").cast("string"))).orderBy("key", "id").limit(fit_rows)
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).join(F.broadcast(known), "id")
+    # An id can have many rows: each of its texts counts once, and the bound holds for texts.
+    rows = rows.withColumn("fp", F.md5("text")).dropDuplicates(["key", "fp"]).orderBy("key", "fp").limit(fit_rows)
     found = rows.select("key", "text", "toxic", F.lit(1).alias("one")).groupBy("one").applyInPandas(
         _fit_task, "model string").collect()
     return found[0]["model"] if found else Grammar(*learn_lexicon([], []), PRIOR.tolist()).dump()

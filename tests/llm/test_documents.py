@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import oracle
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -306,6 +307,23 @@ def test_local_search_empties_bins():
     assert sum(map(bool, squeezed.content)) == 3
 
 
+def test_repeated_rows_are_dealt_over_the_shares(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARE", 50)
+    rows = packing.pack_documents(documents(spark, [(None, None)] * 300)).collect()
+    assert len(rows) == 300 and max(Counter(r["sequence_id"] >> 32 for r in rows).values()) < 100
+
+
+def test_fits_are_bounded_in_rows(spark, monkeypatch):
+    def counted(rows):
+        return pd.DataFrame({"model": [str(len(rows))]})
+    monkeypatch.setattr(toxicity, "_fit_task", counted)
+    monkeypatch.setattr(quality, "_train_task", counted)
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    for fit, key in ((lambda d, n: toxicity.fit(d, labels, fit_rows=n), 1), (lambda d, n: quality.fit(d, fit_rows=n), None)):
+        docs = documents(spark, [(key, f"text {i % 20}") for i in range(100)])
+        assert [fit(docs, n) for n in (7, 50)] == ["7", "20"]
+
+
 # --- secrets ---------------------------------------------------------------------------------------------------
 
 HEX = "0123456789abcdef" * 2
