@@ -57,6 +57,14 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name that no column has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly (the finaliser of splitmix64)."""
     with np.errstate(over="ignore"):
