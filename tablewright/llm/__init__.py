@@ -1,7 +1,7 @@
 """Operators that prepare text corpora for training language models; nothing else in the library imports them."""
 
 from tablewright.llm import (  # noqa: F401  (each import registers its query)
-    bpe, chat, decontamination, lexical, neardup, neighbours, packing, quality, secrets, substrings, toxicity, vectordup,
+    bpe, chat, decontamination, lexical, neardup, negatives, neighbours, packing, quality, secrets, substrings, toxicity, vectordup,
 )
 from tablewright.llm.registry import oracle_sql, queries
 
