@@ -8,10 +8,9 @@ Similar documents share most of the COUNTED smallest values, so they also share
 these are listed.  A document of its own has none that occurs twice, and text that many documents contain, being
 frequent, is listed only by documents that consist of little else.
 
-A list is never multiplied out while a part of it can be linked cheaper: in a few rounds each list compares its
-members with one pivot only, and lists whose members have all become connected are left alone.  What remains is
-compared pairwise between different components, each pair once, unless the number of shingles that a document has
-alone rules the pair out.
+A list is never multiplied out.  In a few rounds each list compares its members with one pivot only, and lists whose
+members have all become connected are left alone.  The members of those that remain are dealt into tiles of bounded
+size; a task compares the full sets of one tile and returns only the links of a spanning forest, never pairs.
 """
 
 from __future__ import annotations
@@ -20,12 +19,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import gram_hashes, prepare, stored, whole_text, word_hashes
+from tablewright.llm.common import fresh, gram_hashes, prepare, stored, whole_text, word_hashes
 from tablewright.llm.components import components
 from tablewright.llm.registry import query, table
 
@@ -35,7 +35,8 @@ WORDS = 5
 K, COUNTED, MARGIN = 64, 32, 0.27
 DEPTH = 3  # values that similar documents share among those listed
 ROUNDS = 2
-BLOCK = 512  # members of a list that one task compares with all
+BLOCK = 1024  # members of a list on one side of a tile, about
+SHINGLES = 1_000_000  # and their shingles
 
 
 def shingle_set(text: bytes) -> tuple[np.ndarray, bytes]:
@@ -54,15 +55,18 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         made = [shingle_set(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), pa.array([d for _, d in made], pa.binary()),
+            [batch.column("doc"), batch.column("mark"), pa.array([d for _, d in made], pa.binary()),
              pa.array([len(s) for s, _ in made], pa.int64()), _lists([s[:K] for s, _ in made])],
-            names=["doc", "digest", "n", "sketch"])
+            names=["doc", "mark", "digest", "n", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [shingle_set(t)[0] for t in batch.column("text").cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("c"), _lists(made)], names=["c", "shingles"])
+        made = [shingle_set(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        # The id that names a class can have other texts as well.
+        own = [i for i, (made_, digest) in enumerate(zip(made, batch.column("digest").to_pylist())) if made_[1] == digest]
+        yield pa.RecordBatch.from_arrays([batch.column("c").take(pa.array(own, pa.int64())), _lists([made[i][0] for i in own])],
+                                         names=["c", "shingles"])
 
 
 def _estimate(a: Column, b: Column) -> Column:
@@ -152,7 +156,11 @@ class _Linker:
         similar = _sides(stored(hopeful, "near-hopeful"), self.sets, ["shingles"]).select(
             F.col("comp_a").alias("a"), F.col("comp_b").alias("b"), both.alias("both"),
             (F.size("shingles_a") + F.size("shingles_b")).alias("sum")).filter((100 + p) * F.col("both") >= p * F.col("sum"))
-        edges = stored(similar.select("a", "b").distinct(), "near-links")
+        self.merge(similar.select("a", "b"))
+
+    def merge(self, links: DataFrame) -> None:
+        """``links``: a, b, components that belong together."""
+        edges = stored(links.distinct(), "near-links")
         if edges.isEmpty():
             return
         merged = components(edges)
@@ -171,45 +179,79 @@ def _open_lists(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(mixed.filter("lo < hi").select(key, "length"), key)
 
 
-def _cross(rows: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a list and can be similar, each from the first list they share.
+def _tiles(rows: DataFrame) -> DataFrame:
+    """v, lo, hi, own, c, comp: of each list the pairs of blocks, and the members of both.
 
-    A long list is dealt out in blocks of one side.
+    Lists of the same members are one.
     """
-    values = listed.groupBy("c").agg(F.array_sort(F.collect_list("v")).alias("values"))
-    rows = rows.join(values, "c").withColumn("blocks", F.ceil(F.col("length") / BLOCK).cast("int"))
-    side = lambda x: [F.col(y).alias(f"{y}_{x}") for y in ("comp", "n", "s", "values")]
-    a = rows.select("v", F.pmod(F.xxhash64("c"), "blocks").cast("int").alias("block"), F.col("c").alias("a"), *side("a"))
-    b = rows.select("v", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("c").alias("b"), *side("b"))
-    able = _may_link(a["n_a"], a["s_a"], b["n_b"], b["s_b"], percent)
-    first = F.array_min(F.array_intersect(a["values_a"], b["values_b"])) == a["v"]
-    return a.join(b, (a["v"] == b["v"]) & (a["block"] == b["block"]) & (a["a"] < b["b"]) & (a["comp_a"] != b["comp_b"])
-                  & able & first).select("a", "b", "comp_a", "comp_b")
+    same = [F.bit_xor(F.xxhash64("c", F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)]
+    lists = rows.groupBy("v").agg(F.count("*").alias("m"), F.sum("n").alias("total"), *same)
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("total") / SHINGLES)).cast("int").alias("blocks")
+    lists = lists.groupBy("m", "total", "x1", "x2").agg(F.min("v").alias("v")).select("v", blocks)
+    dealt = rows.join(lists, "v").withColumn("own", F.pmod(F.xxhash64("c", F.lit(3)), "blocks").cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select("v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "c", "comp")
+
+
+def _forest(percent: int):
+    """Within one tile: links between components, no more than connect them."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        comp, lo, hi = rows["comp"].to_numpy(), int(rows["lo"].iloc[0]), int(rows["hi"].iloc[0])
+        left, right = (rows["own"] == lo).to_numpy(), (rows["own"] == hi).to_numpy()
+        sets, links = [np.asarray(s, np.int64) for s in rows["shingles"]], []
+        sizes = np.array([len(s) for s in sets])
+        if (comp != comp[0]).any() and left.any() and right.any():
+            begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            held, flat = np.unique(np.concatenate(sets), return_inverse=True)
+            mark, root = np.zeros(len(held), np.int32), comp.copy()
+            for a in np.flatnonzero(left):
+                able = right & (root != root[a]) & (100 * np.minimum(sizes, sizes[a]) >= percent * np.maximum(sizes, sizes[a]))
+                if lo == hi:
+                    able[:a] = False
+                if not able.any():
+                    continue
+                own = flat[begins[a]:begins[a] + sizes[a]]
+                mark[own] = 1
+                both = np.add.reduceat(mark[flat], begins)
+                mark[own] = 0
+                for b in np.flatnonzero(able & ((100 + percent) * both >= percent * (sizes + sizes[a]))):
+                    if root[b] != root[a]:
+                        links.append((int(comp[a]), int(comp[b])))
+                        root[root == root[b]] = root[a]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    return run
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc, n_shingles, component_id (smallest doc reachable by links), kept (it is that one).
 
     Two documents are linked if their sets are similar by ``percent`` or more.  Null and empty texts have no
-    shingles and link with nothing; fewer than five words are one shingle; rows that repeat an id are one document
-    where component ids are concerned and give a row each; a row without an id links with nothing and is kept; an
-    empty table gives an empty result.  Other columns are not read.
+    shingles and link with nothing; fewer than five words are one shingle; the texts of a repeated id are linked each
+    by itself, and of one that is a component of its own the id is the name; a row without an id links with nothing
+    and is kept; an empty table gives an empty result.  Other columns are not read.
     """
+    return _judged(docs, percent, id_col, text_col).select("doc", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """What ``near_duplicates`` returns, and mark (a hash of the text, which tells the texts of an id apart)."""
     spark = docs.sparkSession
     prepare(spark)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), whole_text(text_col).alias("text"))
-    sketches = stored(texts.mapInArrow(_sketches, "doc long, digest binary, n long, sketch array<long>"), "near-sketches")
+    text = whole_text(text_col)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    sketches = stored(texts.mapInArrow(_sketches, "doc long, mark long, digest binary, n long, sketch array<long>"), "near-sketches")
     folded = sketches.filter("n > 0 and doc is not null").groupBy("digest").agg(
-        F.min("doc").alias("c"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    classes = stored(folded, "near-classes")
+        F.min("doc").alias("least"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # A class has a number of its own: its smallest id can be that of another class, too.
+    classes = stored(folded.withColumn("c", F.monotonically_increasing_id()), "near-classes")
     listed = stored(_lists_of(classes, percent), "near-lists")
-    able = listed.select("c").distinct()
-    needed = texts.join(able.select(F.col("c").alias("doc")), "doc")
-    sets = stored(needed.select(F.col("doc").alias("c"), "text").mapInArrow(_sets, "c long, shingles array<long>"), "near-sets")
+    able = listed.select("c").distinct().join(classes.select("c", "digest", F.col("least").alias("doc")), "c")
+    needed = texts.join(able, "doc").select("c", "digest", "text")
+    sets = stored(needed.mapInArrow(_sets, "c long, shingles array<long>"), "near-sets")
     sets = sets.dropDuplicates(["c"]) if _repeats(sets) else sets
     linker = _Linker(classes, sets, percent)
 
-    listed = rows = stored(_hopeful_rows(_with_shared(listed, classes, sets), percent), "near-hopeful")
+    rows = stored(_hopeful_rows(_with_shared(listed, classes, sets), percent), "near-hopeful")
     for number in range(ROUNDS):
         rows = stored(_open_lists(linker.labelled(rows.select("v", "c", "copies", "n", "s")), "v"), "near-open")
         if rows.isEmpty():
@@ -224,13 +266,17 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, id_col: str = "doc_id
             "a", F.col("c").alias("b"), "comp_a", F.col("comp").alias("comp_b")))
     rows = stored(_open_lists(linker.labelled(rows.select("v", "c", "copies", "n", "s")), "v"), "near-open")
     if not rows.isEmpty():
-        linker.link(_cross(rows, listed, percent))
-
-    found = classes.select("digest", "c")
-    found = linker.labelled(found).select("digest", F.col("comp").alias("component"))
+        linker.merge(_tiles(rows).join(sets, "c").groupBy("v", "lo", "hi").applyInPandas(_forest(percent), "a long, b long"))
+
+    found = classes.select("digest", F.col("least").alias("component"))
+    if linker.comp is not None:
+        members = linker.comp.join(classes.select(F.col("c").alias("node"), "least"), "node")
+        names = members.groupBy("component").agg(F.min("least").alias("name"))
+        named = members.join(names, "component").select(F.col("node").alias("c"), "name")
+        found = classes.join(named, "c", "left").select("digest", F.coalesce("name", "least").alias("component"))
     linked = F.col("n") > 0
-    result = sketches.select("doc", "digest", "n").join(found, "digest", "left").select(
-        "doc", F.col("n").alias("n_shingles"),
+    result = sketches.select("doc", "mark", "digest", "n").join(found, "digest", "left").select(
+        "doc", "mark", F.col("n").alias("n_shingles"),
         F.when(linked & F.col("doc").isNotNull(), F.col("component")).otherwise(F.col("doc")).alias("component_id"))
     return result.withColumn("kept", F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)))
 
@@ -240,10 +286,13 @@ def _repeats(sets: DataFrame) -> bool:
 
 
 def drop_near_duplicates(docs: DataFrame, *, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns unchanged: of each group the document with the smallest id."""
-    found = near_duplicates(docs, percent=percent, id_col=id_col, text_col=text_col)
-    gone = found.filter(~F.col("kept")).select(F.col("doc").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that are kept, all columns unchanged: of each group the texts of the smallest id.
+
+    Of an id with several texts those go that belong to a smaller id's group, and the others stay.
+    """
+    doc, mark = fresh(docs, "doc"), fresh(docs, "mark")
+    gone = _judged(docs, percent, id_col, text_col).filter(~F.col("kept")).select(F.col("doc").alias(doc), F.col("mark").alias(mark)).distinct()
+    return docs.join(gone, (F.col(id_col).cast("long") == F.col(doc)) & (F.xxhash64(whole_text(text_col)) == F.col(mark)), "left_anti")
 
 
 _SQL = r"""
