@@ -17,6 +17,7 @@ import hashlib
 import json
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import public_tokenizers
 import pyarrow as pa
@@ -30,6 +31,7 @@ from tablewright.llm.registry import query, table
 VOCABULARY = "byte_bpe_50k.json"
 CACHED = 600_000  # stretches and words remembered, per generation (of two)
 LONG = 64  # longer stretches are not remembered
+BLOCK = 65_536  # characters of a text that are encoded at a time, about
 
 
 def byte_characters() -> dict[str, int]:
@@ -57,7 +59,6 @@ class Vocabulary:
             a, b = self.ids[raw(left)], self.ids[raw(right)]
             self.rank[a, b] = rank
             self.made.setdefault(self.ids[raw(left) + raw(right)], (a, b, rank))
-        self.lookahead = max(map(len, self.ids))
         self._spines: tuple[dict, dict] = ({}, {})
         self.known: dict[tuple[int, int], bool] = {}  # of pairs asked for, whether they stay apart
         # Tokens that merging reaches; the others are never last.
@@ -66,6 +67,9 @@ class Vocabulary:
             left, right, rank = self.made[token]
             if self.bytes[left] in self.reached and self.bytes[right] in self.reached and self._neighbours(left, right, rank):
                 self.reached[self.bytes[token]] = token
+        # No token that merging reaches is longer, so bytes further on change nothing.
+        self.lookahead = max(map(len, self.reached))
+        self.decimal = {i: str(i) for i in self.bytes}
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int, float]]:
         """Parts at an edge of a token (0: right edge, 1: left edge): (part, made at rank, merged away at rank)."""
@@ -97,7 +101,7 @@ class Vocabulary:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether a and b stay apart when merged together."""
-        if len(self.known) > 5 * CACHED:
+        if len(self.known) > 2 * CACHED:
             self.known.clear()
         apart = self.known[a, b] = self._neighbours(a, b, float("inf"))
         return apart
@@ -133,6 +137,32 @@ class Transducer:
             if len(tail) > 2 * most:
                 yield from self._settle()
 
+    def whole(self, data: bytes) -> list[int]:
+        """The tokens of one word; none of a short one is final before its end."""
+        reached = self.v.reached.get
+        token = reached(data)
+        if token is not None:
+            return [token]
+        if len(data) > self.v.lookahead:
+            return [*self.feed(data), *self.finish()]
+        known, fits, tokens, sizes = self.v.known.get, self.v.fits, [-1], [0]
+        for end in range(1, len(data) + 1):
+            for begin in range(end):
+                token = reached(data[begin:end])
+                if token is not None:
+                    before = tokens[begin]
+                    apart = True if before < 0 else known((before, token))
+                    if apart or apart is None and fits(before, token):
+                        tokens.append(token)
+                        sizes.append(end - begin)
+                        break
+        found, at = [], len(data)
+        while at:
+            found.append(tokens[at])
+            at -= sizes[at]
+        found.reverse()
+        return found
+
     def _settle(self) -> list[int]:
         """Emit what the chains of the last ``lookahead`` prefixes share."""
         end = len(self.tail)
@@ -173,10 +203,11 @@ class Encoder:
         self.old: dict[str, tuple[int, ...]] = {}
 
     def _word(self, word: str) -> tuple[int, ...]:
-        data = word.encode()
-        return *self.transducer.feed(data), *self.transducer.finish()
+        return tuple(self.transducer.whole(word.encode()))
 
     def _ids(self, text: str) -> tuple[int, ...]:
+        if text.isascii() and text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+            return self._word(text)
         words = self.words.findall(text)
         return self._word(text) if len(words) == 1 else tuple(i for word in words for i in self._known(word, self._word))
 
@@ -193,52 +224,83 @@ class Encoder:
                 self.young[text] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        parts = self.special.split(text) if self.special else [text]
-        ids: list[int] = []
-        for i, part in enumerate(parts):
+    def blocks(self, text: str) -> Iterator[list[int]]:
+        """The ids of a text, those of a bounded part at a time."""
+        for i, part in enumerate(self.special.split(text) if self.special else [text]):
             if i % 2:
-                ids.append(self.v.special[part])
+                yield [self.v.special[part]]
                 continue
-            get = self.young.get
-            for piece in _stretches(part):
-                found = get(piece)
-                if found is None:
-                    found = self._known(piece, self._ids)
-                    get = self.young.get
-                ids += found
+            for window in windows(part, BLOCK):
+                yield self._block(window)
+
+    def _block(self, text: str) -> list[int]:
+        ids: list[int] = []
+        get = self.young.get
+        for piece in _stretches(text):
+            found = get(piece)
+            if found is None:
+                found = self._known(piece, self._ids)
+                get = self.young.get
+            ids += found
         return ids
 
+    def encode(self, text: str) -> list[int]:
+        return [i for block in self.blocks(text) for i in block]
+
     def decode(self, ids: Iterable[int]) -> str:
-        """Tokens' bytes through an incremental UTF-8 machine; incomplete sequences become the replacement character.
+        """The text of ids; see ``Decoder``."""
+        machine, ids = Decoder(self.v), iter(ids)
+        out = []
+        while block := list(islice(ids, 4096)):
+            out.append(machine.feed(block))
+        return "".join([*out, machine.finish()])
 
-        Ids that the vocabulary does not have are skipped.
-        """
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
-        known, out, held = self.v.bytes, [], []
-        for i in ids:
-            held.append(known.get(i, b""))
-            if len(held) >= 4096:
-                out.append(machine.decode(b"".join(held)))
-                held = []
-        out.append(machine.decode(b"".join(held), True))
-        return "".join(out)
+
+class Decoder:
+    """Ids in, text out: tokens' bytes through an incremental UTF-8 machine.
+
+    Incomplete sequences become the replacement character; ids that the vocabulary does not have are skipped.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.known, self.machine = vocabulary.bytes, codecs.getincrementaldecoder("utf-8")("replace")
+
+    def feed(self, ids: list[int]) -> str:
+        try:
+            data = b"".join([self.known[i] for i in ids])
+        except KeyError:
+            data = b"".join([self.known.get(i, b"") for i in ids])
+        return self.machine.decode(data)
+
+    def finish(self) -> str:
+        return self.machine.decode(b"", True)
+
+
+def windows(text: str, size: int) -> Iterator[str]:
+    """Parts of about ``size`` characters whose words are those of the text: each begins with a space before no other."""
+    at = 0
+    while len(text) - at > size:
+        cut = text.find(" ", at + size)
+        while 0 <= cut < len(text) - 1 and text[cut + 1].isspace():
+            cut = text.find(" ", cut + 1)
+        if not 0 <= cut < len(text) - 1:
+            break
+        yield text[at:cut]
+        at = cut
+    if at < len(text):
+        yield text[at:]
 
 
 def _stretches(text: str) -> list[str]:
     """Pieces whose words are those of the text: a space that a letter, digit or mark follows always begins a word."""
     first, *rest = text.split(" ")
-    out, plain = [first], True
+    out = [first]
     for piece in rest:
         # Nothing, or white space, after the space: it may belong to a run of white space, so stay together.
-        if plain and piece and not piece[0].isspace():
-            out.append(" " + piece)
-        elif piece and not piece[0].isspace():
+        if piece and not piece[0].isspace():
             out.append(" " + piece)
-            plain = True
         else:
             out[-1] += " " + piece
-            plain = True
     return [x for x in out if x]
 
 
@@ -250,14 +312,20 @@ def encoder(path: str) -> Encoder:
 def _coded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        sha = lambda data: hashlib.sha256(data).hexdigest()
+        decimal = coder.v.decimal
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
             for text in batch.column("text").to_pylist():
-                ids = coder.encode(text)
-                counts.append(len(ids))
-                ids_sha.append(sha(",".join(map(str, ids)).encode()))
-                text_sha.append(sha(coder.decode(ids).encode()))
+                n, ids_hash, text_hash, machine = 0, hashlib.sha256(), hashlib.sha256(), Decoder(coder.v)
+                for ids in coder.blocks(text):
+                    if ids:
+                        ids_hash.update((("," if n else "") + ",".join([decimal[i] for i in ids])).encode())
+                        n += len(ids)
+                        text_hash.update(machine.feed(ids).encode())
+                text_hash.update(machine.finish().encode())
+                counts.append(n)
+                ids_sha.append(ids_hash.hexdigest())
+                text_sha.append(text_hash.hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
