@@ -9,8 +9,10 @@ place with one or two smaller pieces of it, whenever that raises the sum of squa
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -21,25 +23,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tiktoken.load import load_tiktoken_bpe
 
-from tablewright.llm.bpe import VOCABULARY, Encoder
+from tablewright.llm.bpe import BLOCK, VOCABULARY, Encoder
 from tablewright.llm.common import prepare, stored, whole_text
 from tablewright.llm.registry import query, table
 
 CAPACITY = 2048
 SHARE = 100_000  # pieces per task
-TRIES = 64  # bins looked at for one exchange
+LOOKS = 20  # per piece: pairs of bins that the search of a share looks at
 
 
 class FastEncoder(Encoder):
-    """The same ids from a compiled encoder of the same vocabulary, for stretches that are not remembered."""
+    """The same ids from a compiled encoder of the same vocabulary.
+
+    It is given a bounded part of a text at a time; where a text has no place to part it, the transducer goes on alone.
+    """
 
     def __init__(self, path: str, ranks: str):
         super().__init__(path)
         self.compiled = tiktoken.Encoding("same", pat_str=public_tokenizers.PATTERN, special_tokens={},
                                           mergeable_ranks=load_tiktoken_bpe(ranks))
 
-    def _ids(self, text: str) -> tuple[int, ...]:
-        return tuple(self.compiled.encode_ordinary(text))
+    def _block(self, text: str) -> list[int]:
+        return self.compiled.encode_ordinary(text) if len(text) <= 2 * BLOCK else super()._block(text)
 
 
 @lru_cache(maxsize=1)
@@ -54,6 +59,7 @@ class Bins:
         self.lengths, self.capacity = lengths, capacity
         self.content: list[list[int]] = []
         self.room: list[int] = []
+        self.looks = LOOKS * len(lengths)
         self.by_room: list[set[int]] = [set() for _ in range(capacity + 1)]
         self.mask = 0
 
@@ -103,6 +109,7 @@ class Bins:
 
     def relieve(self, a: int) -> bool:
         """One improving step that takes load off bin a; whether there was one."""
+        self.looks -= 1
         for piece in sorted(self.content[a], key=lambda p: -self.lengths[p]):
             size = self.lengths[piece]
             self.take(a)
@@ -111,15 +118,19 @@ class Bins:
             if b is not None and self._better(a, b, size):
                 self.exchange(a, [piece], b, [])
                 return True
-        rooms = [r for r in range(self.capacity, 0, -1) if self.mask >> r & 1]
-        looked = 0
-        for room in rooms:  # much room first: it takes the largest difference
-            for b in list(self.by_room[room]):
-                if b == a:
-                    continue
-                looked += 1
-                if looked > TRIES:
+        # Much room first: it takes the largest difference.  Bins of equal pieces are alike, and one of them will do.
+        alike, sizes = set(), self.lengths
+        for room in range(self.capacity, 0, -1):
+            if not self.mask >> room & 1:
+                continue
+            for b in list(islice(self.by_room[room], max(0, self.looks))):
+                self.looks -= 1
+                if self.looks < 0:
                     return False
+                kind = tuple(sorted(sizes[p] for p in self.content[b]))
+                if b == a or kind in alike:
+                    continue
+                alike.add(kind)
                 if (step := self._swap(a, b)) is not None:
                     self.exchange(a, step[0], b, step[1])
                     return True
@@ -128,31 +139,35 @@ class Bins:
     def _swap(self, a: int, b: int) -> tuple[list[int], list[int]] | None:
         """The exchange of one for one, one for two or two for one that moves most load from a to b."""
         size, room = self.lengths, self.room[b]
-        own, other = sorted(self.content[a], key=lambda p: -size[p])[:12], sorted(self.content[b], key=lambda p: size[p])[:12]
-        singles = [([p], size[p]) for p in own]
-        pairs = [([p, q], size[p] + size[q]) for i, p in enumerate(own) for q in own[i + 1:]]
-        others = [([p], size[p]) for p in other]
-        other_pairs = [([p, q], size[p] + size[q]) for i, p in enumerate(other) for q in other[i + 1:]]
+        # Pieces of equal length are alike: one of each alone, two in pairs.
+        first = {b_: {size[p]: p for p in self.content[b_]} for b_ in (a, b)}
+        single = {b_: [[p] for p in first[b_].values()] for b_ in (a, b)}
+        pairs = {}
+        for b_ in (a, b):
+            second = {size[p]: p for p in self.content[b_] if first[b_][size[p]] != p}
+            some = [*first[b_].values(), *second.values()]
+            pairs[b_] = list({size[p] + size[q]: [p, q] for i, p in enumerate(some) for q in some[i + 1:]}.values())
         best, most = None, 0
-        for left, right in ((singles, others), (singles, other_pairs), (pairs, others)):
-            for gives, given in left:
-                for takes, taken in right:
-                    if most < given - taken <= room and self._better(a, b, given - taken):
-                        best, most = (gives, takes), given - taken
+        for left, right in ((single[a], single[b]), (single[a], pairs[b]), (pairs[a], single[b])):
+            taken = sorted((sum(size[p] for p in ps), i) for i, ps in enumerate(right))
+            for gives in left:
+                given = sum(size[p] for p in gives)
+                # The least that may come back, so that what goes over fits into the room.
+                at = bisect_left(taken, (given - room, -1))
+                if at < len(taken) and most < given - taken[at][0] and self._better(a, b, given - taken[at][0]):
+                    best, most = (gives, right[taken[at][1]]), given - taken[at][0]
         return best
 
     def search(self) -> None:
-        """Empty bins, the emptiest first, as long as steps improve."""
+        """Empty bins, the emptiest first, as long as steps improve; a bin that stays does not end the search."""
         least = -(-sum(self.lengths) // self.capacity)
         used = sum(map(bool, self.content))
-        for a in sorted((b for b, c in enumerate(self.content) if c), key=lambda b: -self.room[b]):
-            if used <= least:
+        for a in sorted((b for b, c in enumerate(self.content) if c and self.room[b]), key=lambda b: -self.room[b]):
+            if used <= least or self.looks < 0:
                 break
             while self.content[a] and self.relieve(a):
                 pass
-            if self.content[a]:
-                break  # the emptiest bin stays, and the others are fuller
-            used -= 1
+            used -= not self.content[a]
 
 
 def pack(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[int], list[int]]:
