@@ -129,7 +129,7 @@ def features(text: str) -> np.ndarray:
 
 def train(x: np.ndarray, y: np.ndarray, rounds: int = 1000, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by adaptive gradient steps."""
-    weight = 1 / max(1, len(y))
+    x, weight = x.astype(np.float64), 1 / max(1, len(y))
     w, bias, seen, seen_b = np.zeros(x.shape[1]), 0.0, np.full(x.shape[1], 1e-8), 1e-8
     for _ in range(rounds):
         error = (1 / (1 + np.exp(-np.clip(x @ w + bias, -30, 30))) - y) * weight
