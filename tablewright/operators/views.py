@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import nullcontext
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,6 +17,7 @@ from tablewright.guards import required
 from tablewright.naming import TableRef, as_list, quote, resolve_columns
 from tablewright.operators.comparing import comparable, differ
 from tablewright.operators.constraints import Check, enforce
+from tablewright.operators.extremes import counted, exhausted, listed, relisted, same_group as _same_group
 from tablewright.sizes import fits_broadcast
 from tablewright.tables import Storage
 
@@ -99,13 +100,15 @@ class AggregateView:
 
     ``sums`` maps an output column to the column it adds up; ``count`` names the row count.
     ``extremes`` maps an output column to ``("min" | "max", column)``.  Sums of floating point cannot be
-    taken back exactly; like extremes they need the base rows.
+    taken back exactly; like extremes they need the base rows.  With ``kept`` the state lists that many of the
+    smallest (largest) values of a group, and the base is read only for a group whose list has run empty.
     """
 
     group_by: Sequence[str] | str
     sums: Mapping[str, str] = field(default_factory=dict)
     count: str = "n_rows"
     extremes: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+    kept: int = 0
 
     def __post_init__(self) -> None:
         if not as_list(self.group_by):
@@ -113,11 +116,17 @@ class AggregateView:
         for how, _ in self.extremes.values():
             if how not in ("min", "max"):
                 raise ValueError(f"extremes are min or max, got {how!r}")
+        if self.kept < 0:
+            raise ValueError("kept must not be negative")
 
     def seen(self, name: str) -> str:
         """State column: how many non-NULL values are in a sum (a sum of none is NULL)."""
         return f"{name}__seen"
 
+    def lists(self) -> dict[str, tuple[str, str]]:
+        """State columns of each extreme with a list: the list, and how many rows lie beyond it."""
+        return {name: (f"{name}__kept", f"{name}__more") for name in self.extremes} if self.kept else {}
+
     def columns(self) -> list[str]:
         return [*as_list(self.group_by), self.count, *self.sums, *self.extremes]
 
@@ -143,7 +152,27 @@ def _extremes(view: AggregateView) -> list[Column]:
 
 def aggregate_state(base: DataFrame, view: AggregateView) -> DataFrame:
     """The aggregate with its state columns, from all rows."""
-    return base.groupBy(*as_list(view.group_by)).agg(*_sums(view, F.lit(1)), *_extremes(view))
+    keys = as_list(view.group_by)
+    state = base.groupBy(*keys).agg(*_sums(view, F.lit(1)), *_extremes(view))
+    for name, (how, column) in view.extremes.items() if view.kept else ():
+        state = _with_list(state, listed(counted(base, keys, column, F.lit(1)), keys, how, view.kept), keys, name, view)
+    return state
+
+
+def _with_list(state: DataFrame, lists: DataFrame, keys: Sequence[str], name: str, view: AggregateView) -> DataFrame:
+    """The state with new lists where ``lists`` (keys, list, more) has the group; a new column is empty elsewhere."""
+    kept, more = view.lists()[name]
+    kind = lists.schema["list"].dataType
+    had = {kept: F.col(f"s.{quote(kept)}"), more: F.col(f"s.{quote(more)}")} if kept in state.columns else {}
+    new = F.col("l.more").isNotNull()
+    made = {
+        kept: F.when(new, F.col("l.list")).otherwise(F.coalesce(had.get(kept, F.lit(None)), F.array().cast(kind))),
+        more: F.when(new, F.col("l.more")).otherwise(F.coalesce(had.get(more, F.lit(None)), F.lit(0)).cast("bigint")),
+        name: F.when(new, F.get(F.col("l.list"), F.lit(0))["value"]).otherwise(F.col(f"s.{quote(name)}")),
+    }
+    columns = [*state.columns, *[c for c in (kept, more) if c not in state.columns]]
+    return state.alias("s").join(lists.alias("l"), _same_group("s", "l", keys), "left").select(
+        *[made[c].alias(c) if c in made else F.col(f"s.{quote(c)}").alias(c) for c in columns])
 
 
 def aggregate_result(state: DataFrame, view: AggregateView) -> DataFrame:
@@ -153,11 +182,6 @@ def aggregate_result(state: DataFrame, view: AggregateView) -> DataFrame:
     return state.select(*shown)
 
 
-def _same_group(left: str, right: str, keys: Sequence[str]) -> Column:
-    return reduce(lambda x, y: x & y,
-                  [F.col(f"{left}.{quote(k)}").eqNullSafe(F.col(f"{right}.{quote(k)}")) for k in keys])
-
-
 def apply_changes(
     state: DataFrame, changes: DataFrame, view: AggregateView, base: DataFrame | None = None
 ) -> DataFrame:
@@ -166,9 +190,19 @@ def apply_changes(
     Changes are summed per group with their sign before anything is joined, so both sides of the
     join have one row per group.  A minimum or maximum cannot be taken back, so groups that lost a
     row are recomputed from ``base`` (the rows after the changes); only those are read again.  With a
-    floating sum that is done for every group that changed.
+    floating sum that is done for every group that changed.  Extremes with lists are taken from these, without
+    ``base``; see ``refresh_incremental`` for lists that run empty.
     """
     keys = as_list(view.group_by)
+    if view.kept and view.extremes:
+        plain = replace(view, extremes={}, kept=0)
+        rest = [c for name, two in view.lists().items() for c in (name, *two)]
+        summed = _carried(state, apply_changes(state.drop(*rest), changes, plain, base), keys, rest)
+        sign = F.when(F.col(CHANGE_TYPE).isin("delete", "update_preimage"), -1).otherwise(1)
+        for name, (how, column) in view.extremes.items():
+            lists = relisted(state, changes, keys, column, how, view.kept, view.lists()[name], sign)
+            summed = _with_list(summed, lists, keys, name, view)
+        return summed.select(*state.columns)
     gone = F.col(CHANGE_TYPE).isin("delete", "update_preimage")
     sign = F.when(gone, -1).otherwise(1)
     floating = floating_sums(state, view)
@@ -212,6 +246,26 @@ def apply_changes(
         for c in state.columns])
 
 
+def _carried(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``new`` with columns of the same groups in ``old``."""
+    both = new.alias("n").join(old.select(*[F.col(quote(c)) for c in (*keys, *columns)]).alias("o"), _same_group("n", "o", keys), "left")
+    return both.select(*[F.col(f"n.{quote(c)}").alias(c) for c in new.columns], *[F.col(f"o.{quote(c)}").alias(c) for c in columns])
+
+
+def _refilled(state: DataFrame, base: DataFrame | None, view: AggregateView) -> DataFrame:
+    """The state with lists made anew from ``base`` for the groups with one that has run empty, if there are any."""
+    keys = as_list(view.group_by)
+    empty = exhausted(state, list(view.lists().values()))
+    if empty.isEmpty():
+        return state
+    if base is None:
+        raise ValueError("a list of extremes has run empty: the base rows are needed once, or a larger kept")
+    rows = base.alias("b").join(empty.select(*[F.col(quote(k)) for k in keys]).alias("e"), _same_group("b", "e", keys), "left_semi")
+    for name, (how, column) in view.extremes.items():
+        state = _with_list(state, listed(counted(rows, keys, column, F.lit(1)), keys, how, view.kept), keys, name, view)
+    return state
+
+
 def create_aggregate(base: DataFrame, ref: TableRef | str, view: AggregateView) -> DataFrame:
     """Store the state of a maintained aggregate; ``aggregate_result`` shows it."""
     return tables.write_table(aggregate_state(base, view), ref)
@@ -223,11 +277,16 @@ def refresh_incremental(
 ) -> DataFrame:
     """Bring a stored aggregate up to date from changes alone.
 
-    With extremes or floating sums the changes are read twice, so they are stored beside the state first.
+    With extremes or floating sums the changes are read twice, so they are stored beside the state first.  Extremes
+    with lists read ``base`` only if a list has run empty, and fail without it before the stored state is touched.
     """
     ref = TableRef.parse(ref)
     spark = changes.sparkSession
     tables.require_table(spark, ref)
     state = tables.fresh(spark, ref)
     with tables.staged(changes, ref) if view.extremes or floating_sums(state, view) else nullcontext(changes) as feed:
-        return tables.rewrite(apply_changes(state, feed, view, base), ref, tag)
+        after = apply_changes(state, feed, view, base)
+        if not view.lists():
+            return tables.rewrite(after, ref, tag)
+        with tables.staged(after, ref) as new:
+            return tables.rewrite(_refilled(new, base, view), ref, tag)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from concurrent.futures import Future
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,7 @@ def stream_refresh(
     checkpoint: str,
     files_per_batch: int | None = None,
     new_stream: bool = False,
+    base: Callable[[], DataFrame] | None = None,
 ):
     """Apply every change file that arrived since the last call, then stop.
 
@@ -56,10 +58,13 @@ def stream_refresh(
     state follows streams already, a checkpoint it does not know is refused: it is either that of a
     further feed, which ``new_stream=True`` says, or takes the place of a lost one, whose changes
     would count twice.
+
+    Extremes need lists (``kept`` of the view).  ``base`` gives the rows as they are after all changes that have
+    arrived, for a group whose list has run empty; without it such a batch fails and can be delivered again.
     """
     ref = TableRef.parse(ref)
-    if view.extremes:
-        raise ValueError("min and max need the base rows; refresh them in batch")
+    if view.extremes and not view.kept:
+        raise ValueError("min and max need the base rows or lists of kept values; refresh them in batch, or set kept")
     tables.require_table(spark, ref)
     if floating_sums(tables.fresh(spark, ref), view):
         raise ValueError("floating sums need the base rows; refresh them in batch, or sum decimals")
@@ -75,7 +80,7 @@ def stream_refresh(
         stream, done = started.result(), applied_batches(changes.sparkSession, ref)
         if batch_id > done.get(stream, -1):
             done[stream] = batch_id
-            refresh_incremental(ref, changes, view, tag="".join(f"_s{s}n{n}" for s, n in sorted(done.items())))
+            refresh_incremental(ref, changes, view, base=base() if base and view.kept else None, tag="".join(f"_s{s}n{n}" for s, n in sorted(done.items())))
 
     query = (
         reader.load(feed_path).writeStream.foreachBatch(apply)
