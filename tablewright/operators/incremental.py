@@ -32,7 +32,7 @@ def validate_incremental(strategy: str | None, fmt: str, partition_by: Sequence[
     if fmt == "csv" and strategy != "append":
         raise ValueError(f"strategy {strategy!r} needs a columnar table, not {fmt!r}")
     if strategy == "microbatch" and not as_list(partition_by):
-        raise ValueError("strategy 'microbatch' needs partition_by, of the grain of the batches")
+        raise ValueError("strategy 'microbatch' needs partition_by")
     return strategy
 
 
@@ -126,6 +126,7 @@ def microbatch(
     partition_by: Sequence[str] | str,
     rowwise: bool = False,
     storage: Storage = Storage(),
+    whole_partitions: bool = False,
 ) -> DataFrame:
     """Rebuild the slices of ``[begin, end]`` from the source rows whose event time falls in them.
 
@@ -133,6 +134,11 @@ def microbatch(
     matter to it, can be run over all of them at once with ``rowwise=True``.  Several slices are
     gathered beside the table and put in place together, so a partition may hold more than one.
     Rows outside the slices are not picked up; running again changes nothing.
+
+    Exactly the table's rows with an event time in the slices are replaced, however coarse the partitions are: the
+    others stay, those without an event time too.  For that the model must keep the event time.  One that does not (a
+    sum per day, say) needs ``whole_partitions=True``, which says that the partitions are of the grain of the
+    slices; then those with new rows are replaced whole.
     """
     ref = TableRef.parse(ref)
     spark = source.sparkSession
@@ -143,22 +149,51 @@ def microbatch(
     kind = source.schema[event_time].dataType
     at = F.col(quote(event_time))
     batches = (model(source.filter((at >= F.lit(str(lo)).cast(kind)) & (at < F.lit(str(hi)).cast(kind)))) for lo, hi in parts)
+    if not parts:
+        return spark.table(ref.sql)
     if len(parts) == 1:
-        _put(ref, next(batches), partition_by, storage)
-    elif parts:
+        batch = next(batches)
+    else:
         gathered = scratch_path(spark, "slices")
         for batch in batches:
             schema = batch.schema
             batch.write.mode("append").parquet(gathered)
-        _put(ref, spark.read.schema(schema).parquet(gathered), partition_by, storage)
+        batch = spark.read.schema(schema).parquet(gathered)
+    if tables.table_kind(spark, ref) != "table":
+        tables.write_table(batch, ref, Storage(**{**storage.__dict__, "partition_by": as_list(partition_by)}))
+    elif whole_partitions:
+        replace_partitions(ref, batch, partition_by)
+    else:
+        replace_range(ref, batch, event_time, parts[0][0], parts[-1][1])
     return spark.table(ref.sql)
 
 
-def _put(ref: TableRef, batch: DataFrame, partition_by: Sequence[str] | str, storage: Storage) -> None:
-    if tables.table_kind(batch.sparkSession, ref) != "table":
-        tables.write_table(batch, ref, Storage(**{**storage.__dict__, "partition_by": as_list(partition_by)}))
-    else:
-        replace_partitions(ref, batch, partition_by)
+def replace_range(ref: TableRef | str, batch: DataFrame, event_time: str, begin: datetime, end: datetime) -> DataFrame:
+    """Replace the table's rows whose event time lies in ``[begin, end)`` by the batch, and no others.
+
+    Only partitions that hold such rows or receive new ones are rewritten; one that loses its last row is dropped.
+    """
+    ref = TableRef.parse(ref)
+    spark = batch.sparkSession
+    target = tables.fresh(spark, ref)
+    if event_time.lower() not in [c.lower() for c in target.columns]:
+        raise ValueError(f"{ref.sql} has no column {event_time!r}, so rows outside the slices cannot be told from those inside")
+    (name,) = resolve_columns([event_time], target.columns, "event_time")
+    kind, at = target.schema[name].dataType, F.col(quote(name))
+    inside = F.coalesce((at >= F.lit(str(begin)).cast(kind)) & (at < F.lit(str(end)).cast(kind)), F.lit(False))
+    with tables.staged(tables.by_target(batch, target), ref) as stored:
+        parts = tables.partition_columns(spark, ref)
+        if not parts:
+            return tables.rewrite(target.filter(~inside).unionByName(stored), ref)
+        values = lambda df: {tuple(r) for r in df.select(*parts).distinct().collect()}  # noqa: E731  (the catalog lists them, too)
+        arriving, holding = values(stored), values(target.filter(inside))
+        touched = sorted(arriving | holding, key=str)
+        rest = tables.in_partitions(target, parts, touched).filter(~inside)
+        emptied = holding - arriving - values(tables.in_partitions(rest, parts, sorted(holding - arriving, key=str)))
+        tables.overwrite_partitions(rest.unionByName(stored), ref)
+        if emptied:
+            tables.empty_partitions(spark, ref, parts, sorted(emptied, key=str))
+        return tables.fresh(spark, ref)
 
 
 def newer_than(source: DataFrame, target: DataFrame, column: str) -> DataFrame:

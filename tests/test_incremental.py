@@ -260,6 +260,43 @@ def test_slices_finer_than_a_partition_are_all_kept(spark, ns, rowwise):
     assert [r[0] for r in rows(table, "id")] == [2, 20, 3]
 
 
+@pytest.mark.parametrize("rowwise", [False, True])
+def test_rows_outside_the_slices_stay(spark, ns, rowwise):
+    """Days within one month's partition, and a neighbouring month that a slice reaches into."""
+    ref, schema = TableRef("ranges", ns), "id bigint, seen_at timestamp_ntz"
+    at = [(1, datetime(2032, 1, 1, 5)), (2, datetime(2032, 1, 3)), (3, datetime(2032, 1, 4, 23)), (4, datetime(2032, 1, 5)), (5, datetime(2032, 2, 1))]
+
+    def run(data, first, last, **options):
+        table = inc.microbatch(
+            ref, spark.createDataFrame(data, schema), lambda d: d.withColumn("month", F.date_trunc("month", "seen_at").cast("date")),
+            event_time="seen_at", batch_size="day", begin=first, end=last, partition_by="month", rowwise=rowwise, **options)
+        return [r[0] for r in rows(table, "id")]
+
+    assert run(at, datetime(2032, 1, 1), datetime(2032, 2, 2)) == [1, 2, 3, 4, 5]
+    tables.append_rows(spark.createDataFrame([(9, None, None)], schema + ", month date"), ref)  # without an event time
+    for _ in range(2):
+        assert run(at, datetime(2032, 1, 3), datetime(2032, 1, 4, 1)) == [1, 2, 3, 4, 5, 9]
+    assert run([(3, datetime(2032, 1, 4, 2))], datetime(2032, 1, 3), datetime(2032, 1, 4, 1)) == [1, 3, 4, 5, 9]
+    assert run([], datetime(2032, 2, 1), datetime(2032, 2, 1, 1)) == [1, 3, 4, 9]  # the last row of its partition
+    assert {str(r[0]) for r in rows(spark.sql(f"show partitions {ref.sql}"))} >= {"month=2032-01-01"}
+    assert "month=2032-02-01" not in {r[0] for r in rows(spark.sql(f"show partitions {ref.sql}"))}
+
+
+def test_slices_of_a_model_without_the_event_time(spark, ns):
+    ref = TableRef("sums", ns)
+    source = spark.createDataFrame([(i, datetime(2033, 1, i)) for i in (1, 2, 3)], "id bigint, seen_at timestamp_ntz")
+
+    def run(**options):
+        return inc.microbatch(
+            ref, source, lambda d: d.groupBy(F.to_date("seen_at").alias("day")).agg(F.sum("id").alias("total")), event_time="seen_at",
+            batch_size="day", begin=datetime(2033, 1, 1), end=datetime(2033, 1, 3, 1), partition_by="day", **options)
+
+    assert run().count() == 3
+    with pytest.raises(ValueError, match="has no column 'seen_at'"):
+        run()
+    assert rows(run(whole_partitions=True), "total") == [(1,), (2,), (3,)]
+
+
 def test_slices():
     assert inc.slices(datetime(2020, 11, 15), datetime(2021, 1, 1), "month") == [
         (datetime(2020, 11, 1), datetime(2020, 12, 1)), (datetime(2020, 12, 1), datetime(2021, 1, 1))]
