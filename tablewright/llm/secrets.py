@@ -8,11 +8,14 @@ one owner looks live.  Long mixed strings that no pattern names are reported onl
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import stored, whole_text
+from tablewright.llm.common import fresh, stored, whole_text
 from tablewright.llm.registry import query, table
+from tablewright.naming import quote
 
 # The kinds, in order, with their pattern, the group that holds the value and its least length.
 KINDS = {
@@ -27,6 +30,44 @@ WIDELY = 5
 SALTS = 8
 
 
+SPAN = "struct<start:bigint,kind:string,end:bigint,value:string>"
+STEP = 256  # elements that are summed at a time, so that long arrays are not copied whole for each
+BLOCK = 4096  # characters; positions in long texts are counted from the block they are in
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _before(values: Column, fold: Callable[[Column, Column], Column], start: int) -> Column:
+    """For each element of an array of bigint what ``fold`` makes of ``start`` and those before it.
+
+    ``fold`` is a sum or a maximum; stretches are folded first, then the elements of each.
+    """
+    zero = F.lit(start).cast("bigint")
+
+    def within(part: Column, begin: Column) -> Column:
+        return F.aggregate(
+            part, F.struct(F.array().cast("array<bigint>").alias("at"), begin.alias("now")),
+            lambda acc, x: F.struct(F.concat(acc["at"], F.array(acc["now"])).alias("at"), fold(acc["now"], x).alias("now")))["at"]
+
+    def whole(v: Column) -> Column:
+        last = F.greatest(F.lit(0), F.floor((F.size(v) - 1) / STEP).cast("int"))
+        parts = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(v, i * STEP + 1, STEP))
+        return _let(parts, lambda p: F.flatten(F.zip_with(
+            p, within(F.transform(p, lambda x: F.aggregate(x, zero, fold)), zero), within)))
+    return _let(values, whole)
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _most(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
 def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
     """Array of (start, kind, end, value) of the leftmost non-overlapping matches that are long enough.
 
@@ -34,20 +75,32 @@ def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    gaps = F.split(text, pattern, -1)
-    starts = F.aggregate(
-        F.zip_with(F.slice(gaps, 1, F.size(whole)), whole, lambda g, m: F.struct(
-            F.length(g).alias("gap"), F.length(m).alias("size"))),
-        F.struct(F.array().cast("array<long>").alias("at"), F.lit(0).cast("long").alias("end")),
-        lambda acc, x: F.struct(
-            F.concat(acc["at"], F.array(acc["end"] + x["gap"])).alias("at"),
-            (acc["end"] + x["gap"] + x["size"]).alias("end")),
-    )["at"]
-    spans = F.filter(F.transform(F.arrays_zip(starts.alias("s"), whole.alias("w"), value.alias("v")), lambda x: F.struct(
-        x["s"].alias("start"), F.lit(kind).alias("kind"),
-        (x["s"] + F.length(x["w"])).alias("end"), x["v"].alias("value"))), lambda x: F.length(x["value"]) >= least)
-    none = F.array().cast("array<struct<start:bigint,kind:string,end:bigint,value:string>>")
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+
+    def spans(m: Column) -> Column:
+        sizes = F.zip_with(F.slice(m["gaps"], F.lit(1), F.size(m["whole"])), m["whole"], lambda g, w: F.struct(
+            F.length(g).cast("bigint").alias("gap"), F.length(w).cast("bigint").alias("size")))
+        return _let(sizes, lambda s: F.filter(F.transform(
+            F.arrays_zip(_before(F.transform(s, lambda x: x["gap"] + x["size"]), _plus, 0).alias("b"), s.alias("s"), m["value"].alias("v")),
+            lambda x: F.struct((x["b"] + x["s"]["gap"]).alias("start"), F.lit(kind).alias("kind"),
+                               (x["b"] + x["s"]["gap"] + x["s"]["size"]).alias("end"), x["v"].alias("value"))),
+            lambda x: F.length(x["value"]) >= least))
+    found = _let(F.struct(whole.alias("whole"), value.alias("value"), F.split(text, pattern, -1).alias("gaps")), spans)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def _apart(base: Column, added: Column) -> Column:
+    """``base`` and those of ``added`` that overlap none of it: in the order of their starts, no end before a span lies
+    beyond its start and no start after it before its end."""
+    far = 1 << 62
+
+    def kept(spans: Column) -> Column:
+        named = lambda x: x["kind"] != "opaque"
+        ends = _before(F.transform(spans, lambda x: F.when(named(x), x["end"]).otherwise(F.lit(-1).cast("bigint"))), _most, -1)
+        starts = F.reverse(_before(F.reverse(F.transform(spans, lambda x: F.when(named(x), -x["start"]).otherwise(F.lit(-far)))), _most, -far))
+        return F.transform(F.filter(F.arrays_zip(spans.alias("x"), ends.alias("e"), starts.alias("s")), lambda z: named(z["x"]) | (
+            (z["e"] <= z["x"]["start"]) & (-z["s"] >= z["x"]["end"]))), lambda z: z["x"])
+    both = (F.size(base) > 0) & (F.size(added) > 0)
+    return F.when(both, _let(F.array_sort(F.concat(base, added)), kept)).otherwise(F.concat(base, added))
 
 
 def candidate_spans(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str) -> DataFrame:
@@ -61,12 +114,10 @@ def candidate_spans(docs: DataFrame, id_col: str, text_col: str, owner_col: str,
     rows = rows.select("doc", "owner", "repo", F.md5("_text").alias("fp"),
                        *[_found(text, k, *v).alias(k) for k, v in KINDS.items()],
                        _found(text, "opaque", OPAQUE, 0, 32).alias("opaque"))
-    base = F.concat(*KINDS)
-    mixed = F.filter("opaque", lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Z]") & x["value"].rlike("[a-z]")
-                     & ~F.exists(F.col("base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    marker = F.array(F.lit(None).cast("struct<start:bigint,kind:string,end:bigint,value:string>"))
-    rows = rows.withColumn("base", base)
-    rows = rows.select("doc", "fp", "owner", "repo", F.explode(F.concat(marker, "base", mixed)).alias("x"))
+    mixed = F.filter("opaque", lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Z]") & x["value"].rlike("[a-z]"))
+    rows = rows.select("doc", "fp", "owner", "repo", F.concat(*KINDS).alias("base"), mixed.alias("mixed"))
+    marker = F.array(F.lit(None).cast(SPAN))
+    rows = rows.select("doc", "fp", "owner", "repo", F.explode(F.concat(marker, _apart(F.col("base"), F.col("mixed")))).alias("x"))
     return rows.select("doc", "fp", "owner", "repo", "x.start", "x.kind", "x.end",
                        F.when(F.col("x").isNotNull(), F.md5("x.value")).alias("hash"))
 
@@ -122,20 +173,31 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", *
     All columns and rows are kept; texts without a live secret, null texts included, are unchanged.  Overlapping
     spans are replaced as one.  Owners are counted over distinct texts unless ``options`` say otherwise.
     """
+    doc, fp, spans = (fresh(docs, name) for name in ("doc", "fp", "spans"))
     live = scan(docs, id_col=id_col, text_col=text_col, **{"by_text": True, **options}).select(
-        F.col("doc").alias("_doc"), F.col("fp").alias("_fp"),
-        F.filter("spans", lambda x: x["live"]).alias("_spans")).filter(F.size("_spans") > 0).distinct()
-    joined = docs.withColumn("_key", F.md5(whole_text(text_col))).join(
-        live, F.col(id_col).eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_fp")), "left")
-    text = F.col(text_col)
-    pieces = F.aggregate(
-        F.col("_spans"), F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, x: F.when(x["end"] <= acc["at"], acc).otherwise(F.struct(
-            F.concat(acc["out"], F.when(x["start"] >= acc["at"], F.concat(
-                text.substr(acc["at"].cast("int") + 1, (x["start"] - acc["at"]).cast("int")), F.lit("[secret]")))
-                .otherwise(F.lit(""))).alias("out"), x["end"].alias("at"))))
-    cleaned = F.concat(pieces["out"], text.substr(pieces["at"].cast("int") + 1, F.length(text)))
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(cleaned)).select(*docs.columns)
+        F.col("doc").alias(doc), F.col("fp").alias(fp), F.filter("spans", lambda x: x["live"]).alias(spans)).filter(F.size(spans) > 0).distinct()
+    same = F.col(id_col).eqNullSafe(F.col(doc)) & (F.md5(whole_text(text_col)) == F.col(fp))
+    cleaned = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(_replaced(F.col(text_col), F.col(spans)))
+    return docs.join(live, same, "left").withColumn(text_col, cleaned).select(*[F.col(quote(c)) for c in docs.columns])
+
+
+def _replaced(text: Column, spans: Column) -> Column:
+    """The text with ``[secret]`` for each run of overlapping spans, which come in the order of their starts."""
+    size = F.length(text).cast("bigint")
+
+    def part(blocks: Column, begin: Column, end: Column) -> Column:
+        def cut(i: Column) -> Column:
+            first = F.greatest(begin - i * BLOCK, F.lit(0)).cast("int")
+            return F.get(blocks, i.cast("int")).substr(first + 1, F.least(end - i * BLOCK, F.lit(BLOCK)).cast("int") - first)
+        numbers = F.sequence(F.floor(begin / BLOCK).cast("bigint"), F.floor((end - 1) / BLOCK).cast("bigint"))
+        return F.when(end > begin, F.array_join(F.transform(numbers, cut), "")).otherwise("")
+
+    def joined(blocks: Column) -> Column:
+        ends = F.transform(spans, lambda x: x["end"])
+        pieces = F.transform(F.arrays_zip(spans.alias("x"), _before(ends, _most, 0).alias("at")), lambda z: F.when(
+            z["x"]["start"] >= z["at"], F.concat(part(blocks, z["at"], z["x"]["start"]), F.lit("[secret]"))).otherwise(""))
+        return F.concat(F.array_join(pieces, ""), part(blocks, F.array_max(ends), size))
+    return _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), joined)
 
 
 def _parts(kind: str, pattern: str, group: int, least: int) -> str:

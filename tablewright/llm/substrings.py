@@ -24,8 +24,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import gram_hashes, prepare, stored, whole_text, word_hashes
+from tablewright.llm.common import fresh, gram_hashes, prepare, stored, whole_text, word_hashes
 from tablewright.llm.registry import query, table
+from tablewright.naming import quote
 
 WINDOW, GRAM = 20, 5
 COMMON = 2000  # occurrences from which an anchor's windows are dealt out one by one
@@ -232,16 +233,17 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_
     kept words joined by one space; other texts, null ones included, are unchanged.  Texts shorter than a window
     lose nothing.  Equal rows are one document; an empty table gives an empty result.
     """
-    found = repeated_windows(docs, window=window, id_col=id_col, text_col=text_col).select(
-        F.col("doc").alias("_doc"), F.col("fp").alias("_fp"), F.col("all").alias("_all"), F.col("starts").alias("_starts"))
+    doc, fp, everything, starts = (fresh(docs, name) for name in ("doc", "fp", "all", "starts"))
+    found = repeated_windows(docs, window=window, id_col=id_col, text_col=text_col).toDF(doc, fp, everything, starts)
 
     @F.pandas_udf("string")
     def cut(texts, everything, starts):
         return pd.Series([b" ".join(_cut(t.encode().split(), a, s, window)).decode() for t, a, s in zip(texts, everything, starts)], dtype="object")
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    joined = docs.join(found, (key == F.col("_doc")) & (F.xxhash64(whole_text(text_col)) == F.col("_fp")), "left")
-    changed = joined.filter(F.col("_doc").isNotNull()).withColumn(text_col, cut(whole_text(text_col), "_all", "_starts"))
-    return changed.select(*docs.columns).unionByName(joined.filter(F.col("_doc").isNull()).select(*docs.columns))
+    joined = docs.join(found, (key == F.col(doc)) & (F.xxhash64(whole_text(text_col)) == F.col(fp)), "left")
+    changed = joined.filter(F.col(doc).isNotNull()).withColumn(text_col, cut(whole_text(text_col), F.col(everything), F.col(starts)))
+    names = [F.col(quote(c)) for c in docs.columns]
+    return changed.select(*names).unionByName(joined.filter(F.col(doc).isNull()).select(*names))
 
 
 def _digests(window: int):

@@ -118,15 +118,17 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93, id_col: str
     """One row per input row: vec_id, n_links, component_id, kept.
 
     Vectors that are null, zero or hold a null or a non-finite number, rows without a label or an id, and vectors of
-    different length link with nothing.  Rows that repeat an id are vectors of their own that share a component id.
+    different length link with nothing.  Rows that repeat an id are vectors of
+    their own, each with its links and its component.
     An empty table gives an empty result.  Other columns are not read.
     """
     spark = vectors.sparkSession
     prepare(spark)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vec"), F.col(label_col).alias("label"))
     good = rows.filter(usable(F.col("vec")) & F.col("id").isNotNull() & F.col("label").isNotNull())
-    classes = stored(good.groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("size")), "vec-classes")
-    sample = classes.orderBy(F.xxhash64("rep", "label")).limit(SAMPLE).select("vec").toPandas()["vec"]
+    classes = stored(good.groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("size")) \
+        .withColumn("rep", F.monotonically_increasing_id()), "vec-classes")  # a number of its own: ids may repeat
+    sample = classes.orderBy(F.xxhash64("least", "label")).limit(SAMPLE).select("vec").toPandas()["vec"]
     by_dim = {}
     for dim in {len(v) for v in sample}:
         picked = np.stack([np.asarray(v, dtype=np.float64) for v in sample if len(v) == dim])
@@ -161,8 +163,11 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93, id_col: str
 
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("rep").alias("a"), F.col("to").alias("b"))).withColumnRenamed("node", "rep")
+    groups = groups.join(classes.select("rep", "least"), "rep")
+    names = groups.groupBy("component").agg(F.min("least").alias("name"))
+    groups = groups.join(names, "component").select("rep", "name")
     judged = classes.join(counts, "rep", "left").join(groups, "rep", "left").select(
-        "label", "vec", F.coalesce("component", "rep").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"))
+        "label", "vec", F.coalesce("name", "least").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"))
     alone = ~usable(F.col("vec")) | F.col("id").isNull() | F.col("label").isNull()
     result = rows.filter(~alone).join(judged, ["label", "vec"], "left").select("id", "links", "component").unionByName(
         rows.filter(alone).select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("component")))

@@ -17,7 +17,7 @@ from tablewright import llm
 from tablewright.llm import bpe, neardup, packing, quality, secrets, substrings, toxicity
 
 FOLDER = "/root/testdata/sf0.001"
-CLASHING = ("doc", "c", "v", "key", "fp", "copy", "kind", "h", "p", "text_", "share", "comp", "n", "all", "starts", "one")
+CLASHING = ("_doc", "_fp", "_key", "_spans", "_gone", "_all", "_starts", "spans", "mark", "digest", "least", "doc", "c", "v", "key", "fp", "copy", "kind", "h", "p", "text_", "share", "comp", "n", "all", "starts", "one")
 WORDS = [f"w{i}" for i in range(400)]
 
 
@@ -103,6 +103,26 @@ def test_texts_of_a_repeated_id_share_its_component(awkward):
     assert {r["component_id"] for r in neardup.near_duplicates(awkward.filter("doc_id = 9")).collect()} == {9}
 
 
+def test_the_unique_text_of_a_repeated_id_stays(spark):
+    one, other = prose(51, 60), prose(52, 60)
+    docs = documents(spark, [(1, one), (9, one), (9, other), (5, prose(53, 70)), (5, prose(54, 70))])
+    assert sorted(map(str, neardup.drop_near_duplicates(docs).select("doc_id", "text").collect())) == sorted(
+        map(str, docs.select("doc_id", "text").filter(~((F.col("doc_id") == 9) & (F.col("text") == one))).collect()))
+    assert {(r["doc"], r["component_id"]) for r in neardup.near_duplicates(docs).collect()} == {(1, 1), (9, 1), (9, 9), (5, 5)}
+
+
+def test_secrets_of_a_long_text_with_many_matches(spark):
+    """100,000 matches in 3 MB end in seconds, where work goes with the length."""
+    import time
+    text = " ".join(f"token={i:010d}x {'AbCd0123' * 4}{i:08d}" if i % 2 else f"api_key: k{i:08d} ä😀" for i in range(100_000))
+    docs = documents(spark, [(1, text), (2, "secret=abcdefg1")])
+    start = time.time()
+    found = {r["doc_id"]: r["text"] for r in secrets.redact(docs, widely=2).select("doc_id", "text").collect()}
+    assert time.time() - start < 120
+    assert found[2] == "[secret]" and found[1].startswith("[secret] ä😀 [secret] [secret] [secret] ä😀") and "AbCd" not in found[1]
+    assert found[1].count("[secret]") == 150_000
+
+
 def test_near_duplicates_of_nothing(nothing):
     assert neardup.near_duplicates(nothing).count() == 0
     assert neardup.drop_near_duplicates(nothing).columns == nothing.columns

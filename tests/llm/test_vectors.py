@@ -51,6 +51,12 @@ def test_links_and_components(spark):
         assert (r["n_links"], r["component_id"], r["kept"]) == expected, i
 
 
+def test_vectors_of_one_id_have_links_of_their_own(spark):
+    rows = [(5, [1.0, 0.01, 0.0], 1), (5, [0.0, 0.0, 1.0], 1), (7, [1.0, 0.0, 0.0], 1)]
+    found = vectordup.near_duplicates(vectors(spark, rows)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in found) == [(5, 0, 5, True), (5, 1, 5, True), (7, 1, 5, False)]
+
+
 def test_tiles_give_up_only_what_cannot_link():
     draw = np.random.default_rng(3)
     a, b = draw.standard_normal((40, 30)), draw.standard_normal((50, 30))
