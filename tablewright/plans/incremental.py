@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tablewright import tables
 from tablewright.naming import TableRef
 from tablewright.operators import incremental as inc
+from tablewright.operators.buckets import BUCKET, create_bucketed, merge_bucketed
 from tablewright.operators.merge import merge_into
 from tablewright.operators.schema_change import widen_column
 from tablewright.plans.registry import query, table
@@ -95,6 +96,14 @@ def unique_key(spark: SparkSession, sf: str) -> DataFrame:
     return merge_into(started(spark, sf, "merge"), second_batch(spark, sf), "o_orderkey")
 
 
+@query("merge_bucketed", f"{KEPT} union all {SECOND}")
+def bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the buckets of the batch's keys are rewritten."""
+    ref = TableRef("orders", scratch_namespace(spark, "merge"))
+    create_bucketed(first_rows(spark, sf), ref, "o_orderkey", 8)
+    return merge_bucketed(ref, second_batch(spark, sf)).drop(BUCKET)
+
+
 @query("merge_composite_key", f"{KEPT} union all {SECOND}")
 def composite_key(spark: SparkSession, sf: str) -> DataFrame:
     return merge_into(started(spark, sf, "merge"), second_batch(spark, sf), ["o_custkey", "o_orderkey", "o_custkey"])
