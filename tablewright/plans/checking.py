@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablewright.naming import TableRef
 from tablewright.operators import checks
 from tablewright.operators.constraints import Check, contract, enforce, not_null_check
+from tablewright.operators.digests import relations_equal_by_ranges as by_ranges
 from tablewright.plans.registry import query, table
 from tablewright.workspace import scratch_namespace
 
@@ -117,6 +118,17 @@ def relations_equal(spark: SparkSession, sf: str) -> DataFrame:
     return checks.relations_equal(table(spark, sf, "orders"), edited(spark, sf))
 
 
+@query("relations_equal_by_ranges", f"""
+with edited as ({_EDITED})
+select (select count(*) from orders) - (select count(*) from edited) as row_count_difference,
+       (select count(*) from ((select * from orders except select * from edited)
+                              union all (select * from edited except select * from orders))) as num_mismatched
+""")
+def relations_equal_by_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, row by row only where checksums of key ranges differ."""
+    return by_ranges(table(spark, sf, "orders"), edited(spark, sf), key="o_orderkey")
+
+
 @query("unit_test_diff", f"""
 with actual as (select o_custkey, o_orderstatus, count(*) as n_orders from orders group by all),
 wanted as (select o_custkey, o_orderstatus, count(*) as n_orders from ({_EDITED}) group by all)
