@@ -1,8 +1,8 @@
 """Type-2 history: every version of a row with the time it was valid.
 
-A run compares the source with the open versions only.  Both sides have one row per key,
-so neither join can be skewed, and each join carries just the columns it needs from its
-right side.
+A run compares the source with the open versions only, in one full outer join on the key.  Both
+sides have one row per key, so it cannot be skewed; each side is shuffled once, and a history
+bucketed by its key not at all.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tablewright import tables
@@ -143,14 +144,13 @@ def _watched(source: DataFrame, history: DataFrame, config: SnapshotConfig, keys
 
 @dataclass(frozen=True)
 class SnapshotStep:
-    """The outcome of one run, in three disjoint parts of the same columns."""
+    """The outcome of one run, in two disjoint parts of the same columns."""
 
     closed_before: DataFrame  # versions closed by earlier runs, untouched
-    was_open: DataFrame       # versions open before this run, some now closed
-    opened: DataFrame         # new versions
+    moved: DataFrame          # versions open before this run, some now closed, and new versions
 
     def all_rows(self) -> DataFrame:
-        return self.closed_before.unionByName(self.was_open).unionByName(self.opened)
+        return self.closed_before.unionByName(self.moved)
 
 
 def snapshot_step(
@@ -160,7 +160,8 @@ def snapshot_step(
 
     Columns new in the source are added, NULL in old versions; columns gone from it stay and are
     NULL in new versions.  Running again on the same source adds nothing.  A key that was closed
-    as deleted and comes back opens a new version.
+    as deleted and comes back opens a new version.  A key that is NULL or repeated in the source fails
+    the job; that is seen in the partitioning and order the join needs anyway.
     """
     c = config.columns
     validate_target(history, config)
@@ -170,45 +171,44 @@ def snapshot_step(
     keys = resolve_columns(as_list(config.unique_key), source.columns, "unique_key")
     resolve_columns(keys, history.columns, "unique_key")
     have = {n.lower() for n in history.columns}
-    added = [f for f in source.schema if f.name.lower() not in have]
-    for f in added:
+    for f in [f for f in source.schema if f.name.lower() not in have]:
         history = history.withColumn(f.name, F.lit(None).cast(f.dataType))
-    gone = [f for f in history.schema if f.name not in source.columns and f.name not in c.names()]
 
-    fresh = _versions(_checked_source(source, keys), config, keys, now)
+    first = _versions(_checked_source(source, keys), config, keys, now)
     current = history.filter(is_open(config))
+    # Types as of a union of both sides.
+    kinds = {f.name: f.dataType for f in current.unionByName(first, allowMissingColumns=True).schema}
 
     if config.strategy == "timestamp":
-        watched = []
         newer = F.col(f"old.{quote(c.valid_from)}") < F.col(f"new.{quote(c.valid_from)}")
     else:
-        watched = _watched(source, history, config, keys)
-        kinds = {n: source.schema[n].dataType for n in watched}
-        newer = differ([(comparable(F.col(f"old.{quote(n)}").cast(kinds[n]), kinds[n]),
-                         comparable(F.col(f"new.{quote(n)}"), kinds[n])) for n in watched])
-    newer = F.coalesce(newer, F.lit(False))
-    same_key = [F.col(f"old.{quote(k)}") == F.col(f"new.{quote(k)}") for k in keys]
-    key_gone = F.col(f"new.{quote(keys[0])}").isNull()
-    key_new = F.col(f"old.{quote(keys[0])}").isNull()
-
-    # Open versions: closed when the row changed or left the source.
-    seen = fresh.select(*keys, *[w for w in watched if w not in keys], c.valid_from).alias("new")
-    old = current.alias("old")
-    until = F.when(~key_gone & newer, F.col(f"new.{quote(c.valid_from)}"))
+        watched = {n: source.schema[n].dataType for n in _watched(source, history, config, keys)}
+        newer = differ([(comparable(F.col(f"old.{quote(n)}").cast(kind), kind),
+                         comparable(F.col(f"new.{quote(n)}"), kind)) for n, kind in watched.items()])
+    nth = F.row_number().over(W.partitionBy(*[quote(k) for k in keys]).orderBy(*[quote(k) for k in keys]))
+    new = first.withColumn("__nth", nth).filter(
+        required(F.col("__nth") == 1, "snapshot: unique_key is not unique in the source")).alias("new")
+    old = current.withColumn("__old", F.lit(True)).alias("old")
+    in_old, in_new = F.col("old.__old").isNotNull(), F.col("new.__nth").isNotNull()
+    changed = in_old & in_new & F.coalesce(newer, F.lit(False))
+
+    # An open version is closed when the row changed or left the source.
+    until = F.when(changed, F.col(f"new.{quote(c.valid_from)}"))
     if config.hard_deletes == "invalidate":
-        until = F.when(key_gone, as_time(now)).otherwise(until)
+        until = F.when(~in_new, as_time(now)).otherwise(until)
     until = F.coalesce(until, F.col(f"old.{quote(c.valid_to)}"))
-    was_open = old.join(seen, same_key, "left").select(
-        *[until.alias(n) if n == c.valid_to else F.col(f"old.{quote(n)}") for n in current.columns])
-
-    # New versions: of keys not open before, and of changed rows.
-    known = current.select(*keys, *[w for w in watched if w not in keys], c.valid_from).alias("old")
-    opened = fresh.alias("new").join(known, same_key, "left").filter(key_new | newer).select("new.*")
-    for f in gone:
-        opened = opened.withColumn(f.name, F.lit(None).cast(f.dataType))
-    opened = opened.select(*history.columns)
-    opened = opened.unionByName(_no_repeated_key(source, keys, opened))
-    return SnapshotStep(history.filter(~is_open(config)), was_open, opened)
+    was = F.struct(*[(until if n == c.valid_to else F.col(f"old.{quote(n)}")).cast(kinds[n]).alias(n)
+                     for n in history.columns])
+    # A version is opened for a key that was not open before, and for a changed row.
+    made = F.struct(*[(F.col(f"new.{quote(n)}") if n in first.columns else F.lit(None)).cast(kinds[n]).alias(n)
+                      for n in history.columns])
+    same_key = [F.col(f"old.{quote(k)}") == F.col(f"new.{quote(k)}") for k in keys]
+    moved = (
+        old.join(new, same_key, "full")
+        .select(F.explode(F.array(F.when(in_old, was), F.when(~in_old | changed, made))).alias("__row"))
+        .filter(F.col("__row").isNotNull()).select("__row.*")
+    )
+    return SnapshotStep(history.filter(~is_open(config)), moved)
 
 
 def snapshot_next(history: DataFrame, source: DataFrame, config: SnapshotConfig, now: datetime | str) -> DataFrame:
@@ -227,12 +227,12 @@ def snapshot(
     now: datetime | str,
     storage: Storage = Storage(),
     closing_period: str | None = None,
-    stage: bool = True,
+    stage: bool = False,
 ) -> DataFrame:
     """Run a snapshot into a stored table.
 
-    The source is read several times, so it is stored beside the table first; ``stage=False`` spares
-    that where reading it again is cheap and gives the same rows, as with a filtered scan of files.
+    The source is read once.  ``stage`` stores it beside the table first, which shields a costly source from
+    being computed again where executors are lost.
 
     ``closing_period`` (``day``, ``month`` or ``year``, fixed by the first run) partitions the table by
     the period in which a version was closed: a column ``closed_in`` with its first day, NULL while
@@ -256,7 +256,11 @@ def snapshot(
     tables.require_table(spark, ref)
     history = tables.fresh(spark, ref)
     validate_target(history, config)
+    layout = tables.storage_of(spark, ref)
     with tables.staged(source, ref) if stage else nullcontext(source) as stored:
+        if layout.buckets and as_list(layout.clustered_by) == resolve_columns(as_list(config.unique_key), history.columns, "unique_key"):
+            # Dealt as the table's buckets are, so that the history stays where it is.
+            stored = stored.repartition(layout.buckets, *[quote(k) for k in as_list(config.unique_key)])
         period = tables.properties(spark, ref).get(_PERIOD_PROPERTY)
         if period is None:
             return tables.rewrite(snapshot_next(history, stored, config, now), ref)
@@ -279,16 +283,16 @@ def _snapshot_periods(ref: TableRef, history: DataFrame, source: DataFrame, conf
     # The open versions alone decide what changes.
     current = history.filter(F.col(CLOSED).isNull()).drop(CLOSED)
     step = snapshot_step(current, source, config, now)
-    moved = step.was_open.unionByName(step.opened).withColumn(CLOSED, closed_in)
-    # Partition values, which the catalog lists on the driver as well; this reads compared columns only.
-    found = {r[0] for r in moved.select(CLOSED).distinct().collect()}
-    periods = sorted([(p,) for p in found if p is not None])
-    result = moved
-    if periods:
-        beside = history.filter(F.col(CLOSED).isNotNull())
-        beside = tables.in_partitions(beside, [CLOSED], periods)
-        result = moved.unionByName(beside)
-    table = tables.overwrite_partitions(result, ref)
+    with tables.staged(step.moved.withColumn(CLOSED, closed_in), ref) as moved:
+        # Partition values, which the catalog lists on the driver as well.
+        found = {r[0] for r in moved.select(CLOSED).distinct().collect()}
+        periods = sorted([(p,) for p in found if p is not None])
+        result = moved
+        if periods:
+            beside = history.filter(F.col(CLOSED).isNotNull())
+            beside = tables.in_partitions(beside, [CLOSED], periods)
+            result = moved.unionByName(beside)
+        table = tables.overwrite_partitions(result, ref)
     if found and None not in found:
         tables.empty_partitions(spark, ref, [CLOSED], [(None,)])
         table = spark.table(ref.sql)

@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from tablewright import Storage, TableRef, tables
 from tablewright.operators import checks
 from tablewright.operators.merge import merge
+from tablewright.operators.snapshot import SnapshotConfig, snapshot, snapshot_init, snapshot_step
 from tablewright.operators.views import change_feed
 from tablewright.sizes import BROADCAST_LIMIT, fits_broadcast, proven_bytes
 
@@ -150,3 +151,23 @@ def test_compressible_rows_are_measured_before_a_broadcast(spark, tmp_path):
         assert result.count() == 40000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_snapshot_shuffles_each_side_once(spark, shuffled):
+    config = SnapshotConfig("id", "check", check_cols="all", hard_deletes="invalidate")
+    history = snapshot_init(spark.range(100).selectExpr("id", "id as v"), config, "2024-01-01 00:00:00")
+    history = spark.createDataFrame(history.collect(), history.schema)
+    text = plan(snapshot_step(history, spark.range(50).selectExpr("id", "-id as v"), config, "2024-02-01 00:00:00").moved)
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("SortMergeJoin") == 1
+
+
+def test_a_bucketed_history_is_not_shuffled(spark, ns, shuffled):
+    config = SnapshotConfig("id", "check", check_cols="all")
+    ref = TableRef("history", ns)
+    snapshot(spark.range(100).selectExpr("id", "id as v"), ref, config, "2024-01-01 00:00:00",
+             Storage(clustered_by="id", buckets=6))
+    source = spark.range(50).selectExpr("id", "-id as v")
+    text = plan(snapshot_step(spark.table(ref.sql), source.repartition(6, "id"), config, "2024-02-01 00:00:00").moved)
+    assert text.count("Exchange") == 1 and "Exchange hashpartitioning(id" in text
+    after = snapshot(source, ref, config, "2024-02-01 00:00:00")
+    assert after.count() == 149 and tables.storage_of(spark, ref).buckets == 6
