@@ -17,6 +17,7 @@ from tablewright.guards import required
 from tablewright.naming import TableRef, as_list, quote, resolve_columns
 from tablewright.operators.comparing import comparable, differ
 from tablewright.operators.constraints import Check, enforce
+from tablewright.operators.exact import summed, together, total
 from tablewright.operators.extremes import counted, exhausted, listed, relisted, same_group as _same_group
 from tablewright.sizes import fits_broadcast
 from tablewright.tables import Storage
@@ -100,7 +101,8 @@ class AggregateView:
 
     ``sums`` maps an output column to the column it adds up; ``count`` names the row count.
     ``extremes`` maps an output column to ``("min" | "max", column)``.  Sums of floating point cannot be
-    taken back exactly; like extremes they need the base rows.  With ``kept`` the state lists that many of the
+    taken back exactly; like extremes they need the base rows, unless ``exact`` keeps them as whole numbers per
+    power of two, which costs the state a map.  With ``kept`` the state lists that many of the
     smallest (largest) values of a group, and the base is read only for a group whose list has run empty.
     """
 
@@ -109,6 +111,7 @@ class AggregateView:
     count: str = "n_rows"
     extremes: Mapping[str, tuple[str, str]] = field(default_factory=dict)
     kept: int = 0
+    exact: bool = False
 
     def __post_init__(self) -> None:
         if not as_list(self.group_by):
@@ -127,15 +130,28 @@ class AggregateView:
         """State columns of each extreme with a list: the list, and how many rows lie beyond it."""
         return {name: (f"{name}__kept", f"{name}__more") for name in self.extremes} if self.kept else {}
 
+    def parts(self, name: str) -> str:
+        """State column: the places of an exact floating sum."""
+        return f"{name}__parts"
+
     def columns(self) -> list[str]:
         return [*as_list(self.group_by), self.count, *self.sums, *self.extremes]
 
 
-def floating_sums(state: DataFrame, view: AggregateView) -> list[str]:
-    """The sums of a state that are floating point: adding and subtracting would round, and NaN would stay."""
+def _floating(state: DataFrame, view: AggregateView) -> list[str]:
     return [f.name for f in state.schema if f.name in view.sums and isinstance(f.dataType, (T.FloatType, T.DoubleType))]
 
 
+def floating_sums(state: DataFrame, view: AggregateView) -> list[str]:
+    """The sums of a state that are plain floating point: adding and subtracting would round, and NaN would stay."""
+    return [n for n in _floating(state, view) if not view.exact]
+
+
+def exact_sums(state: DataFrame, view: AggregateView) -> list[str]:
+    """The floating sums of a state that are kept by places."""
+    return [n for n in _floating(state, view) if view.exact]
+
+
 def _sums(view: AggregateView, sign: Column) -> list[Column]:
     result = [F.sum(sign).cast("bigint").alias(view.count)]
     for name, column in view.sums.items():
@@ -156,9 +172,21 @@ def aggregate_state(base: DataFrame, view: AggregateView) -> DataFrame:
     state = base.groupBy(*keys).agg(*_sums(view, F.lit(1)), *_extremes(view))
     for name, (how, column) in view.extremes.items() if view.kept else ():
         state = _with_list(state, listed(counted(base, keys, column, F.lit(1)), keys, how, view.kept), keys, name, view)
+    for name in exact_sums(state, view):
+        state = _with_parts(state, summed(base, keys, view.sums[name], F.lit(1)), keys, name, view)
     return state
 
 
+def _with_parts(state: DataFrame, added: DataFrame, keys: Sequence[str], name: str, view: AggregateView) -> DataFrame:
+    """The state with what ``added`` (keys, parts) brings to an exact sum; a new column is empty elsewhere."""
+    column = view.parts(name)
+    columns = [*state.columns, *([] if column in state.columns else [column])]
+    had = F.col(f"s.{quote(column)}") if column in state.columns else F.lit(None).cast("map<int,bigint>")
+    new = state.alias("s").join(added.alias("d"), _same_group("s", "d", keys), "left").select(
+        *[together(had, F.col("d.parts")).alias(c) if c == column else F.col(f"s.{quote(c)}") for c in columns])
+    return new.select(*[total(F.col(quote(column))).alias(c) if c == name else F.col(quote(c)) for c in columns])
+
+
 def _with_list(state: DataFrame, lists: DataFrame, keys: Sequence[str], name: str, view: AggregateView) -> DataFrame:
     """The state with new lists where ``lists`` (keys, list, more) has the group; a new column is empty elsewhere."""
     kept, more = view.lists()[name]
@@ -190,14 +218,28 @@ def apply_changes(
     Changes are summed per group with their sign before anything is joined, so both sides of the
     join have one row per group.  A minimum or maximum cannot be taken back, so groups that lost a
     row are recomputed from ``base`` (the rows after the changes); only those are read again.  With a
-    floating sum that is done for every group that changed.  Extremes with lists are taken from these, without
+    floating sum that is not exact it is done for every group that changed.  Extremes with lists are taken from these, without
     ``base``; see ``refresh_incremental`` for lists that run empty.
     """
     keys = as_list(view.group_by)
+    exact = exact_sums(state, view)
+    if exact:
+        rest = [view.parts(n) for n in exact]
+        new = _carried(state, _changed(state.drop(*rest), changes, view, base), keys, rest)
+        sign = F.when(F.col(CHANGE_TYPE).isin("delete", "update_preimage"), -1).otherwise(1)
+        for name in exact:
+            new = _with_parts(new, summed(changes, keys, view.sums[name], sign), keys, name, view)
+        return new.select(*state.columns)
+    return _changed(state, changes, view, base)
+
+
+def _changed(state: DataFrame, changes: DataFrame, view: AggregateView, base: DataFrame | None) -> DataFrame:
+    """``apply_changes`` but for exact sums, whose doubles it leaves wrong."""
+    keys = as_list(view.group_by)
     if view.kept and view.extremes:
         plain = replace(view, extremes={}, kept=0)
         rest = [c for name, two in view.lists().items() for c in (name, *two)]
-        summed = _carried(state, apply_changes(state.drop(*rest), changes, plain, base), keys, rest)
+        summed = _carried(state, _changed(state.drop(*rest), changes, plain, base), keys, rest)
         sign = F.when(F.col(CHANGE_TYPE).isin("delete", "update_preimage"), -1).otherwise(1)
         for name, (how, column) in view.extremes.items():
             lists = relisted(state, changes, keys, column, how, view.kept, view.lists()[name], sign)
@@ -284,7 +326,8 @@ def refresh_incremental(
     spark = changes.sparkSession
     tables.require_table(spark, ref)
     state = tables.fresh(spark, ref)
-    with tables.staged(changes, ref) if view.extremes or floating_sums(state, view) else nullcontext(changes) as feed:
+    twice = view.extremes or _floating(state, view)
+    with tables.staged(changes, ref) if twice else nullcontext(changes) as feed:
         after = apply_changes(state, feed, view, base)
         if not view.lists():
             return tables.rewrite(after, ref, tag)
