@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tablewright.naming import TableRef
 from tablewright.operators import checks
+from tablewright.operators.builds import Model, build_increment, build_snapshot, build_view
 from tablewright.operators.constraints import Check, contract, enforce, not_null_check
 from tablewright.operators.digests import relations_equal_by_ranges as by_ranges
-from tablewright.plans.registry import query, table
+from tablewright.operators.snapshot import SnapshotConfig
+from tablewright.plans.registry import cents, query, table
 from tablewright.workspace import scratch_namespace
 
 EVENT_TYPES = ["click", "purchase", "view"]
@@ -164,3 +166,27 @@ select l_orderkey, l_linenumber, l_quantity from lineitem where l_quantity > 10
 def constraint_drop(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     return enforce(rows, [Check("l_quantity > 10", "bulk", "DROP"), Check("l_linenumber > 0", "numbered")])
+
+
+@query("build_with_contract", """
+select o_orderkey, o_orderstatus, cast(round(o_totalprice * 100) as bigint) as price_cents,
+       md5(cast(o_orderkey as varchar) || '|' || cast(o_orderdate as varchar)) as scd_id,
+       o_orderdate as scd_updated_at, o_orderdate as scd_valid_from, cast(null as timestamp) as scd_valid_to, o_orderdate
+from orders where o_totalprice > 1000
+""")
+def build_with_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as an incremental table under a contract, with constraints and data tests, read by a view and kept as history."""
+    ns = scratch_namespace(spark, "build")
+    shape = "o_orderkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, price_cents bigint"
+    late = F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")
+    source = table(spark, sf, "orders").select("o_orderdate", "o_orderstatus", "o_orderkey", cents("o_totalprice").alias("price_cents"))
+    orders = Model(TableRef("priced_orders", ns), shape, [Check("price_cents > 100000", "large", "DROP"), not_null_check("o_orderkey")],
+                   {"one row per order": lambda rows: checks.unique(rows, "o_orderkey")}, "orders worth following",
+                   {"price_cents": "the price in cents"})
+    for _ in range(2):  # the first run has all years, the second brings the late ones again
+        build_increment(spark, orders, lambda again: source.filter(late) if again else source, strategy="merge", unique_key="o_orderkey")
+    seen = Model(TableRef("seen_orders", ns), shape, [Check("price_cents > 0", "positive")], sources=[orders.ref])
+    build_view(spark, seen, f"SELECT price_cents, o_orderdate, o_orderkey, o_orderstatus FROM {orders.table.sql}")
+    history = Model(TableRef("orders_history", ns), shape, tests={"keys": lambda rows: checks.not_null(rows, "scd_id")}, sources=[seen.ref])
+    return build_snapshot(spark, history, lambda: spark.table(seen.table.sql),
+                          SnapshotConfig("o_orderkey", "timestamp", updated_at="o_orderdate"), "2001-09-01 00:00:00")

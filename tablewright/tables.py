@@ -24,6 +24,7 @@ from pyspark.sql.types import StructField, StructType
 from tablewright.naming import TableRef, as_list, quote, resolve_columns, sql_text
 
 SHARED_PROPERTY = "tablewright.shared_location"
+ROOT_PROPERTY = "tablewright.location_root"
 _VERSION = re.compile(r"/v([^/]*)_[0-9a-f]{12}/?$")
 FORMATS = ("csv", "parquet", "delta")
 
@@ -99,9 +100,10 @@ def storage_of(spark: SparkSession, ref: TableRef) -> Storage:
     buckets = details.get("Num Buckets", "")
     buckets = int(buckets) if buckets.isdigit() else 0
     clustered = [c.strip(" `") for c in details.get("Bucket Columns", "").strip("[]").split(",")]
+    found = properties(spark, ref)
     kept = {
-        k: v for k, v in properties(spark, ref).items()
-        if not k.startswith(("transient_", "spark.", "option.")) and k != SHARED_PROPERTY
+        k: v for k, v in found.items()
+        if not k.startswith(("transient_", "spark.", "option.")) and k not in (SHARED_PROPERTY, ROOT_PROPERTY)
     }
     stored = details.get("Storage Properties", "").strip("[]")
     options = dict(o.split("=", 1) for o in stored.split(", ") if "=" in o)
@@ -112,6 +114,7 @@ def storage_of(spark: SparkSession, ref: TableRef) -> Storage:
         buckets=buckets or None,
         options={k: v for k, v in options.items() if k not in ("path", "serialization.format")},
         properties=kept,
+        location_root=found.get(ROOT_PROPERTY),
         comment=details.get("Comment"),
     )
 
@@ -164,9 +167,13 @@ def _swaps_in(spark: SparkSession, staged: TableRef, ref: TableRef, storage: Sto
 def _publish(spark: SparkSession, staged: TableRef, ref: TableRef, storage: Storage) -> None:
     """Point the table at the staged version; a table of another shape is replaced."""
     if table_kind(spark, ref) == "table" and _swaps_in(spark, staged, ref, storage):
+        had = storage_of(spark, ref)
         spark.sql(f"ALTER TABLE {ref.sql} SET LOCATION {sql_text(location(spark, staged))}")
-        if properties(spark, ref).get(SHARED_PROPERTY) == "true":
-            spark.sql(f"ALTER TABLE {ref.sql} UNSET TBLPROPERTIES ('{SHARED_PROPERTY}')")
+        # What the table said about itself and is not said again goes, as when it is replaced under its name.
+        stale = [k for k in had.properties if k not in storage.properties] + [SHARED_PROPERTY, ROOT_PROPERTY]
+        spark.sql(f"ALTER TABLE {ref.sql} UNSET TBLPROPERTIES IF EXISTS ({', '.join(map(sql_text, stale))})")
+        if had.comment and not storage.comment:
+            spark.sql(f"COMMENT ON TABLE {ref.sql} IS NULL")
         spark.sql(f"DROP TABLE {staged.sql}")  # external: the files stay
     else:
         drop(spark, ref)
@@ -186,7 +193,8 @@ def write_table(df: DataFrame, ref: TableRef | str, storage: Storage = Storage()
     spark = df.sparkSession
     staged = _new_version(df, ref, storage, tag)
     _publish(spark, staged, ref, storage)
-    set_properties(spark, ref, storage.properties)
+    root = {ROOT_PROPERTY: storage.location_root} if storage.location_root else {}
+    set_properties(spark, ref, {**storage.properties, **root})
     if storage.comment:
         spark.sql(f"COMMENT ON TABLE {ref.sql} IS {sql_text(storage.comment)}")
     return spark.table(ref.sql)
