@@ -125,3 +125,5 @@ def rename(spark: SparkSession, old: TableRef | str, new: TableRef | str) -> Non
     if kind is None:
         raise ValueError(f"{old.sql} does not exist")
     spark.sql(f"ALTER {kind.upper()} {old.sql} RENAME TO {new.sql}")
+    if kind == "table":
+        tables.moved_name(spark, old, new)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright import tables
-from tablewright.naming import TableRef, quote, resolve_columns
+from tablewright.naming import TableRef, as_list, quote, resolve_columns
 
 POLICIES = ("ignore", "fail", "append_new_columns", "sync_all_columns")
 
@@ -59,21 +59,77 @@ def evolve(
     return target, batch
 
 
+# Whole numbers by width; Spark reads the narrower ones of a parquet file as the wider.
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def widens(old: T.DataType, new: T.DataType) -> bool:
+    """Whether files with the old type can be read as the new one, every value kept."""
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    if isinstance(old, _WHOLE) and isinstance(new, _WHOLE):
+        return _WHOLE.index(type(old)) <= _WHOLE.index(type(new))
+    return isinstance(new, T.DoubleType) and isinstance(old, (T.FloatType, *_WHOLE[:3]))
+
+
+def _by_catalog(ref: TableRef, before: DataFrame, after: DataFrame) -> bool:
+    """Whether the stored files can stay as they are.
+
+    They can where columns only go, come under names the files do not hold, or get a wider type, in an external
+    parquet table, and neither partitions nor buckets depend on what changes.
+    """
+    spark = before.sparkSession
+    details = tables.describe(spark, ref)[1]
+    if details.get("Provider", "").lower() != "parquet" or details.get("Type") != "EXTERNAL":
+        return False
+    if any(set(f.metadata) - {"comment"} for f in before.schema):  # char and varchar lengths
+        return False
+    had, old = tables.storage_of(spark, ref), {f.name: f.dataType for f in before.schema}
+    new = {f.name: f.dataType for f in after.schema}
+    fixed = [*as_list(had.partition_by), *(as_list(had.clustered_by) if had.buckets else [])]
+    if any(new.get(c) != old[c] for c in fixed):
+        return False
+    if {c.lower() for c in new if c not in old} & tables.still_stored(spark, ref):
+        return False
+    return all(new[c] == old[c] or widens(old[c], new[c]) for c in new if c in old)
+
+
+def change_columns(ref: TableRef, after: DataFrame) -> DataFrame:
+    """Bring a stored table to the columns of ``after``, which reads it.
+
+    Dropping, adding and widening are entries of the catalog, the files stay: files without a column read as NULL,
+    files of a narrower type are read as the wider one.  The table is rewritten where that would not give the
+    rows of ``after``: for other changes of type, and for a new column under the name of one that was dropped since
+    the files were written, whose old values would come back.  (Parquet field ids tell the two apart when rows are
+    read, but filters are pushed to the files by name and lose rows there.)
+    """
+    spark = after.sparkSession
+    before = tables.fresh(spark, ref)
+    if [(f.name, f.dataType) for f in after.schema] == [(f.name, f.dataType) for f in before.schema]:
+        return before
+    if not _by_catalog(ref, before, after):
+        return tables.rewrite(after, ref)
+    about = {f.name: f.metadata for f in before.schema}
+    schema = T.StructType([T.StructField(f.name, f.dataType, True, about.get(f.name)) for f in after.schema])
+    tables.redeclare(spark, ref, schema, [c for c in before.columns if c not in after.columns])
+    return spark.table(ref.sql)
+
+
 def apply_schema_change(
     ref: TableRef, batch: DataFrame, policy: str = "ignore", allow_drop: bool = False
 ) -> DataFrame:
     """Bring a stored table to the evolved columns and return the batch that fits it.
 
-    Adding columns is a catalog entry, old files read as NULL; only a removed or
-    retyped column rewrites the table.
+    Only what ``change_columns`` cannot say in the catalog rewrites the table.
     """
     spark = batch.sparkSession
     before = tables.fresh(spark, ref)
     after, batch = evolve(before, batch, policy, allow_drop)
     new = [f for f in after.schema if f.name not in before.columns]
     kept = [(f.name, f.dataType) for f in after.schema if f.name in before.columns]
-    if kept != [(f.name, f.dataType) for f in before.schema]:
-        tables.rewrite(after, ref)
+    same = kept == [(f.name, f.dataType) for f in before.schema]
+    if not same or {f.name.lower() for f in new} & tables.still_stored(spark, ref):
+        change_columns(ref, after)
     elif new:
         listed = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {ref.sql} ADD COLUMNS ({listed})")
@@ -82,8 +138,11 @@ def apply_schema_change(
 
 
 def widen_column(spark, ref: TableRef | str, column: str, new_type: str) -> DataFrame:
-    """Change a column's type by rewriting the table; a value that does not fit fails the job."""
+    """Change a column's type: a wider one in the catalog alone, any other by rewriting the table.
+
+    A value that does not fit fails the job.
+    """
     ref = TableRef.parse(ref)
     df = tables.fresh(spark, ref)
     (name,) = resolve_columns([column], df.columns, "widen_column")
-    return tables.rewrite(df.withColumn(name, F.col(quote(name)).cast(new_type)), ref)
+    return change_columns(ref, df.withColumn(name, F.col(quote(name)).cast(new_type)))

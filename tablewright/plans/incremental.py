@@ -16,7 +16,7 @@ from tablewright.naming import TableRef
 from tablewright.operators import incremental as inc
 from tablewright.operators.buckets import BUCKET, create_bucketed, merge_bucketed
 from tablewright.operators.merge import merge_into
-from tablewright.operators.schema_change import widen_column
+from tablewright.operators.schema_change import apply_schema_change, widen_column
 from tablewright.plans.registry import query, table
 from tablewright.tables import Storage
 from tablewright.workspace import scratch_namespace
@@ -234,3 +234,20 @@ def widen(spark: SparkSession, sf: str) -> DataFrame:
     ref = TableRef("lineitem", scratch_namespace(spark, "widen"))
     tables.write_table(table(spark, sf, "lineitem"), ref)
     return widen_column(spark, ref, "l_linenumber", "bigint")
+
+
+@query("columns_by_catalog", """
+select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, l_shipdate, cast(null as varchar) as note,
+       cast(null as double) as l_quantity from lineitem
+union all select l_orderkey, l_linenumber + 5000000000, l_shipdate, 'late', l_quantity from lineitem where l_linenumber = 7
+""")
+def columns_by_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """A column gets wider, one goes and one comes without a file touched; the dropped one's name comes back empty."""
+    ref = TableRef("lineitem", scratch_namespace(spark, "columns"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    tables.write_table(lines, ref)
+    late = lines.filter("l_linenumber = 7").select(
+        "l_orderkey", (F.col("l_linenumber") + F.lit(5_000_000_000)).alias("l_linenumber"), "l_shipdate",
+        F.lit("late").alias("note"), "l_quantity")
+    apply_schema_change(ref, late.drop("l_quantity"), "sync_all_columns", allow_drop=True)
+    return tables.append_rows(apply_schema_change(ref, late, "append_new_columns"), ref)

@@ -170,6 +170,27 @@ def clone(spark: SparkSession, sf: str) -> DataFrame:
     return measure(dst, "clone").unionByName(measure(src, "source"))
 
 
+@query("clone_by_partition", """
+select 'clone' as which, * replace (case when o_orderstatus = 'P' then -o_orderkey else o_orderkey end as o_orderkey)
+from orders
+union all select 'clone', * replace (o_orderkey + 1000000000 as o_orderkey) from orders where o_orderstatus = 'F'
+union all select 'source', * from orders
+""")
+def clone_by_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """A clone appends to one partition and replaces another; only these two are copied, the source sees neither."""
+    ns = scratch_namespace(spark, "parts")
+    src, dst = TableRef("orders", ns), TableRef("orders_clone", ns)
+    orders = table(spark, sf, "orders")
+    tables.write_table(orders, src, Storage(partition_by="o_orderstatus"))
+    tables.clone(spark, src, dst)
+    tables.append_rows(orders.filter("o_orderstatus = 'F'").withColumn(
+        "o_orderkey", F.col("o_orderkey") + F.lit(1_000_000_000).cast(orders.schema["o_orderkey"].dataType)), dst)
+    tables.overwrite_partitions(
+        spark.table(dst.sql).filter("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey")), dst)
+    label = lambda ref, which: spark.table(ref.sql).select(F.lit(which).alias("which"), "*")
+    return label(dst, "clone").unionByName(label(src, "source"))
+
+
 @query("show_limit", "select * from orders order by o_totalprice desc, o_orderkey limit 25")
 def show_limit(spark: SparkSession, sf: str) -> DataFrame:
     ranked = table(spark, sf, "orders").withColumn("__down", -F.col("o_totalprice"))

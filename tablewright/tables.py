@@ -7,6 +7,7 @@ failed or retried job leaves the table as it was.
 
 from __future__ import annotations
 
+import json
 import re
 import threading
 import uuid
@@ -16,6 +17,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from decimal import Decimal
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,16 @@ from tablewright.naming import TableRef, as_list, quote, resolve_columns, sql_te
 
 SHARED_PROPERTY = "tablewright.shared_location"
 ROOT_PROPERTY = "tablewright.location_root"
+# Partitions lie elsewhere than below the table's location, or files below it are no partitions any more.
+MOVED_PROPERTY = "tablewright.moved_partitions"
+# Names of columns that files may still hold though the table has dropped them.
+DROPPED_PROPERTY = "tablewright.dropped_columns"
+# One property for each table that reads some of the same files.
+SHARER_PREFIX = "tablewright.sharer."
+_LAYOUT_PROPERTIES = (SHARED_PROPERTY, ROOT_PROPERTY, MOVED_PROPERTY, DROPPED_PROPERTY)
+# Partitions named in one statement to the catalog.
+_PER_STATEMENT = 200
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _VERSION = re.compile(r"/v([^/]*)_[0-9a-f]{12}/?$")
 FORMATS = ("csv", "parquet", "delta")
 
@@ -103,7 +115,7 @@ def storage_of(spark: SparkSession, ref: TableRef) -> Storage:
     found = properties(spark, ref)
     kept = {
         k: v for k, v in found.items()
-        if not k.startswith(("transient_", "spark.", "option.")) and k not in (SHARED_PROPERTY, ROOT_PROPERTY)
+        if not k.startswith(("transient_", "spark.", "option.", SHARER_PREFIX)) and k not in _LAYOUT_PROPERTIES
     }
     stored = details.get("Storage Properties", "").strip("[]")
     options = dict(o.split("=", 1) for o in stored.split(", ") if "=" in o)
@@ -168,10 +180,10 @@ def _publish(spark: SparkSession, staged: TableRef, ref: TableRef, storage: Stor
     """Point the table at the staged version; a table of another shape is replaced."""
     if table_kind(spark, ref) == "table" and _swaps_in(spark, staged, ref, storage):
         had = storage_of(spark, ref)
+        _release(spark, ref)
         spark.sql(f"ALTER TABLE {ref.sql} SET LOCATION {sql_text(location(spark, staged))}")
         # What the table said about itself and is not said again goes, as when it is replaced under its name.
-        stale = [k for k in had.properties if k not in storage.properties] + [SHARED_PROPERTY, ROOT_PROPERTY]
-        spark.sql(f"ALTER TABLE {ref.sql} UNSET TBLPROPERTIES IF EXISTS ({', '.join(map(sql_text, stale))})")
+        unset_properties(spark, ref, [k for k in had.properties if k not in storage.properties] + list(_LAYOUT_PROPERTIES))
         if had.comment and not storage.comment:
             spark.sql(f"COMMENT ON TABLE {ref.sql} IS NULL")
         spark.sql(f"DROP TABLE {staged.sql}")  # external: the files stay
@@ -187,6 +199,11 @@ def set_properties(spark: SparkSession, ref: TableRef, values: Mapping[str, str]
         spark.sql(f"ALTER TABLE {ref.sql} SET TBLPROPERTIES ({body})")
 
 
+def unset_properties(spark: SparkSession, ref: TableRef, names: Sequence[str]) -> None:
+    if names:
+        spark.sql(f"ALTER TABLE {ref.sql} UNSET TBLPROPERTIES IF EXISTS ({', '.join(map(sql_text, names))})")
+
+
 def write_table(df: DataFrame, ref: TableRef | str, storage: Storage = Storage(), tag: str = "") -> DataFrame:
     """Create the table from a DataFrame, or replace whatever has its name."""
     ref = TableRef.parse(ref)
@@ -264,15 +281,87 @@ def drop(spark: SparkSession, ref: TableRef | str) -> None:
     """Drop a table or view of that name, if there is one."""
     ref = TableRef.parse(ref)
     kind = table_kind(spark, ref)
+    if kind == "table":
+        _release(spark, ref)
     if kind:
         spark.sql(f"DROP {kind.upper()} IF EXISTS {ref.sql}")
 
 
+# ---------------------------------------------------------------- shared files
+
+
+def _key(ref: TableRef) -> str:
+    return SHARER_PREFIX + ref.sql
+
+
+def _named(ref: TableRef) -> dict[str, str]:
+    """The property by which another table names this one."""
+    return {_key(ref): json.dumps([ref.name, ref.namespace, ref.catalog])}
+
+
+def sharers(spark: SparkSession, ref: TableRef) -> list[TableRef]:
+    """The tables that may read some of this table's files."""
+    return [TableRef(*json.loads(v)) for k, v in sorted(properties(spark, ref).items()) if k.startswith(SHARER_PREFIX)]
+
+
+def _release(spark: SparkSession, ref: TableRef) -> None:
+    """This table stops reading shared files; a table that is left alone with them owns them."""
+    for other in sharers(spark, ref):
+        unset_properties(spark, ref, [_key(other)])
+        if table_kind(spark, other) == "table":
+            unset_properties(spark, other, [_key(ref)])
+            if not sharers(spark, other):
+                unset_properties(spark, other, [SHARED_PROPERTY])
+
+
+def moved_name(spark: SparkSession, old: TableRef, new: TableRef) -> None:
+    """Sharers of a table that was renamed know it by its new name."""
+    for other in sharers(spark, new):
+        if table_kind(spark, other) == "table":
+            unset_properties(spark, other, [_key(old)])
+            set_properties(spark, other, _named(new))
+
+
+def _specs(spark: SparkSession, ref: TableRef) -> list[str]:
+    """The partitions as the catalog names them, which is also the path below the table: ``a=1/b=x``."""
+    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {ref.sql}").collect()]
+
+
+def _spec_sql(spec: str) -> str:
+    """Such a name as SQL."""
+    named = [part.split("=", 1) for part in spec.split("/")]
+    return ", ".join(f"{quote(unquote(k))} = {'NULL' if v == _NULL_PARTITION else sql_text(unquote(v))}" for k, v in named)
+
+
+def _add_partitions(spark: SparkSession, ref: TableRef, places: Mapping[str, str]) -> None:
+    """Register partitions, each with its directory."""
+    listed = [f"PARTITION ({_spec_sql(s)}) LOCATION {sql_text(p)}" for s, p in places.items()]
+    for at in range(0, len(listed), _PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {ref.sql} ADD IF NOT EXISTS {' '.join(listed[at:at + _PER_STATEMENT])}")
+
+
+def _partition_place(spark: SparkSession, ref: TableRef, spec: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {ref.sql} PARTITION ({_spec_sql(spec)})").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location")
+
+
+def _same_partitions(spark: SparkSession, src: TableRef, dst: TableRef) -> None:
+    """Give a new table at the same location the partitions of another one."""
+    if not partition_columns(spark, dst):
+        return
+    if MOVED_PROPERTY in properties(spark, src):
+        _add_partitions(spark, dst, {s: _partition_place(spark, src, s) for s in _specs(spark, src)})
+    else:
+        spark.sql(f"MSCK REPAIR TABLE {dst.sql}")
+
+
 def clone(spark: SparkSession, src: TableRef | str, dst: TableRef | str, full_refresh: bool = False) -> DataFrame:
     """A copy that shares the source's files; a view when the source is one.
 
-    An existing target is left alone unless ``full_refresh``.  Both tables are
-    marked, so the first in-place change of either one takes its own copy.
+    An existing target is left alone unless ``full_refresh``.  Each table names the others that share its files.
+    While there are any, a change of a partitioned table writes the touched partitions to new directories and points
+    the catalog there; all others stay shared.  An unpartitioned table takes its own copy at its first change in
+    place.  The table that is left when the others are dropped or rewritten owns the files and changes them in place.
     """
     src, dst = TableRef.parse(src), TableRef.parse(dst)
     if table_kind(spark, dst) and not full_refresh:
@@ -282,24 +371,61 @@ def clone(spark: SparkSession, src: TableRef | str, dst: TableRef | str, full_re
     require_table(spark, src)
     drop(spark, dst)
     spark.sql(f"CREATE TABLE {dst.sql} LIKE {src.sql} LOCATION {sql_text(location(spark, src))}")
-    if partition_columns(spark, dst):
-        spark.sql(f"MSCK REPAIR TABLE {dst.sql}")
-    for ref in (src, dst):
-        set_properties(spark, ref, {SHARED_PROPERTY: "true"})
+    _same_partitions(spark, src, dst)
+    found = properties(spark, src)
+    set_properties(spark, dst, {k: found[k] for k in (MOVED_PROPERTY, DROPPED_PROPERTY) if k in found})
+    family = [src, *sharers(spark, src)]
+    for ref in family:
+        if table_kind(spark, ref) == "table":
+            set_properties(spark, ref, {SHARED_PROPERTY: "true", **_named(dst)})
+        set_properties(spark, dst, {SHARED_PROPERTY: "true", **_named(ref)})
     return spark.table(dst.sql)
 
 
+def _shares(spark: SparkSession, ref: TableRef) -> bool:
+    return properties(spark, ref).get(SHARED_PROPERTY) == "true"
+
+
 def own_files(spark: SparkSession, ref: TableRef) -> None:
     """Before a change in place: a table that shares files with a clone gets its own."""
-    if properties(spark, ref).get(SHARED_PROPERTY) == "true":
+    if _shares(spark, ref):
         rewrite(fresh(spark, ref), ref)
 
 
+def _move_partitions(df: DataFrame, ref: TableRef) -> None:
+    """Replace the partitions that ``df`` has rows for by new directories; no file is overwritten.
+
+    The new rows are written first.  Then each partition is pointed at its directory, by one step of the catalog.
+    """
+    spark = df.sparkSession
+    staged = _new_version(df, ref, storage_of(spark, ref), version_tag(spark, ref))
+    root, known = location(spark, staged), set(_specs(spark, ref))
+    places = {spec: f"{root}/{spec}" for spec in _specs(spark, staged)}
+    set_properties(spark, ref, {MOVED_PROPERTY: "true"})
+    _add_partitions(spark, ref, {s: p for s, p in places.items() if s not in known})
+    for spec in known & places.keys():
+        spark.sql(f"ALTER TABLE {ref.sql} PARTITION ({_spec_sql(spec)}) SET LOCATION {sql_text(places[spec])}")
+    spark.sql(f"DROP TABLE {staged.sql}")  # external: the files stay
+    spark.catalog.refreshTable(ref.sql)
+
+
+def _append_apart(df: DataFrame, ref: TableRef, parts: Sequence[str]) -> None:
+    """Add rows to a table that shares files: the partitions they fall into are copied, new ones are only written."""
+    spark = df.sparkSession
+    with staged(by_target(df, spark.table(ref.sql)), ref) as batch:
+        touched = [tuple(r) for r in batch.select(*map(quote, parts)).distinct().collect()]
+        _move_partitions(in_partitions(fresh(spark, ref), parts, touched).unionByName(batch), ref)
+
+
 def append_rows(df: DataFrame, ref: TableRef) -> DataFrame:
     """Add rows in place, by the table's column list."""
     spark = df.sparkSession
+    parts = partition_columns(spark, ref)
+    if parts and _shares(spark, ref):
+        _append_apart(df, ref, parts)
+        return spark.table(ref.sql)
     own_files(spark, ref)
-    gathered(by_target(df, spark.table(ref.sql)), partition_columns(spark, ref)).write.insertInto(ref.sql)
+    gathered(by_target(df, spark.table(ref.sql)), parts).write.insertInto(ref.sql)
     spark.catalog.refreshTable(ref.sql)
     return spark.table(ref.sql)
 
@@ -329,8 +455,12 @@ def _dynamic_overwrite(spark: SparkSession):
 def overwrite_partitions(df: DataFrame, ref: TableRef) -> DataFrame:
     """Replace exactly the partitions that ``df`` has rows for; ``df`` may read the table."""
     spark = df.sparkSession
+    parts = partition_columns(spark, ref)
+    if parts and _shares(spark, ref):
+        _move_partitions(by_target(df, spark.table(ref.sql)), ref)
+        return spark.table(ref.sql)
     own_files(spark, ref)
-    rows = gathered(by_target(df, spark.table(ref.sql)), partition_columns(spark, ref))
+    rows = gathered(by_target(df, spark.table(ref.sql)), parts)
     with _dynamic_overwrite(spark):
         rows.write.mode("overwrite").insertInto(ref.sql)
     spark.catalog.refreshTable(ref.sql)
@@ -373,8 +503,14 @@ def _literal(value: object) -> str:
 
 def empty_partitions(spark: SparkSession, ref: TableRef, columns: Sequence[str],
                      values: Sequence[Sequence[object]]) -> None:
-    """Remove all rows of some partitions, files first, then the catalog entries."""
-    own_files(spark, ref)
+    """Remove all rows of some partitions, files first, then the catalog entries; shared files stay."""
+    if _shares(spark, ref):
+        set_properties(spark, ref, {MOVED_PROPERTY: "true"})
+        for row in values:
+            spec = ", ".join(f"{quote(c)} = {_literal(v)}" for c, v in zip(columns, row))
+            spark.sql(f"ALTER TABLE {ref.sql} DROP IF EXISTS PARTITION ({spec})")
+        spark.catalog.refreshTable(ref.sql)
+        return
     nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})"
                         for f in spark.table(ref.sql).schema if f.name not in columns)
     for row in values:
@@ -385,6 +521,46 @@ def empty_partitions(spark: SparkSession, ref: TableRef, columns: Sequence[str],
     spark.catalog.refreshTable(ref.sql)
 
 
+# ---------------------------------------------------------------- columns without a rewrite
+
+
+def redeclare(spark: SparkSession, ref: TableRef, schema: StructType, dropped: Sequence[str]) -> None:
+    """Give a table other columns over the same files; the caller sees to it that the files can be read so.
+
+    The entry is made anew beside the old one and takes its name: two steps of the catalog, as when a table of another
+    shape is published.  Partitions, layout, options, comments and sharers stay.  ``dropped`` names are remembered:
+    a new column of such a name would show the old values.
+    """
+    had, found, details = storage_of(spark, ref), properties(spark, ref), describe(spark, ref)[1]
+    beside = ref.sibling(f"{ref.name}__columns_{uuid.uuid4().hex[:12]}")
+    parts = as_list(had.partition_by)
+    columns = ", ".join(
+        f"{quote(f.name)} {f.dataType.simpleString()}"
+        + (f" COMMENT {sql_text(f.metadata['comment'])}" if "comment" in f.metadata else "")
+        for f in sorted(schema, key=lambda f: f.name in parts))
+    listed = lambda names: ", ".join(map(quote, names))
+    options = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in had.options.items())
+    spark.sql(
+        f"CREATE TABLE {beside.sql} ({columns}) USING {had.fmt}"
+        + (f" OPTIONS ({options})" if options else "")
+        + (f" PARTITIONED BY ({listed(parts)})" if parts else "")
+        + (f" CLUSTERED BY ({listed(had.clustered_by)}) INTO {had.buckets} BUCKETS" if had.buckets else "")
+        + f" LOCATION {sql_text(details['Location'])}"
+        + (f" COMMENT {sql_text(had.comment)}" if had.comment else ""))
+    _same_partitions(spark, ref, beside)
+    kept = {k: v for k, v in found.items() if k in _LAYOUT_PROPERTIES or k.startswith(SHARER_PREFIX)}
+    gone = sorted({*json.loads(found.get(DROPPED_PROPERTY, "[]")), *(n.lower() for n in dropped)})
+    set_properties(spark, beside, {**had.properties, **kept, **({DROPPED_PROPERTY: json.dumps(gone)} if gone else {})})
+    spark.sql(f"DROP TABLE {ref.sql}")  # external: the files stay
+    spark.sql(f"ALTER TABLE {beside.sql} RENAME TO {ref.sql}")
+    spark.catalog.refreshTable(ref.sql)
+
+
+def still_stored(spark: SparkSession, ref: TableRef) -> set[str]:
+    """Names (in small letters) of dropped columns that files of the table may still hold."""
+    return set(json.loads(properties(spark, ref).get(DROPPED_PROPERTY, "[]")))
+
+
 # ---------------------------------------------------------------- staging and preview
 
 

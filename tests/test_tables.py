@@ -7,7 +7,8 @@ from conftest import rows
 from tablewright import Storage, TableRef, tables
 from tablewright.operators import profile
 from tablewright.operators.merge import merge_into
-from tablewright.operators.schema_change import SchemaChanged, evolve, widen_column
+from tablewright.operators.schema_change import (
+    SchemaChanged, apply_schema_change, change_columns, evolve, widen_column, widens)
 from tablewright.operators import incremental as inc
 from tablewright.sources.files import find_table, source
 from tablewright.sources.seeds import read_seed, seed
@@ -276,3 +277,100 @@ def test_statistics_text():
     assert profile.parse_statistics("4096 bytes, 17 rows") == {"bytes": 4096, "rows": 17}
     assert profile.parse_statistics("73 bytes") == {"bytes": 73}
     assert profile.parse_statistics("") == {}
+
+
+def _places(spark, ref, test="true"):
+    return {r[0] for r in spark.table(ref.sql).filter(test).select("_metadata.file_path").collect()}
+
+
+def test_clones_copy_by_partition(spark, ns):
+    """A change of one partition leaves the files of the others shared, whatever the kind of change."""
+    src, dst, third = TableRef("src", ns), TableRef("dst", ns), TableRef("third", ns)
+    data = spark.createDataFrame(
+        [(1, 1, "a/b"), (2, 1, "ü%2F"), (3, 2, "a/b"), (4, None, "a/b"), (5, 2, None)], "id long, p int, r string")
+    tables.write_table(data, src, Storage(partition_by=["p", "r"]))
+    tables.clone(spark, src, dst)
+    tables.clone(spark, dst, third)
+    kept = _places(spark, src)
+    assert _places(spark, dst) == _places(spark, third) == kept
+    # Appending: one partition is copied, one is new.
+    more = spark.createDataFrame([(10, 1, "a/b"), (11, 7, "new")], data.schema)
+    tables.append_rows(more, dst)
+    assert rows(spark.table(dst.sql)) == rows(data.union(more))
+    assert _places(spark, dst, "id not in (1, 10, 11)") == _places(spark, src, "id <> 1")
+    # Replacing and emptying, NULL partitions included.
+    tables.overwrite_partitions(spark.createDataFrame([(40, None, "a/b")], data.schema), dst)
+    tables.empty_partitions(spark, dst, ["p", "r"], [(2, None), (1, "ü%2F")])
+    assert rows(spark.table(dst.sql), "id") == [(1,), (10,), (11,), (3,), (40,)]
+    assert rows(spark.table(src.sql)) == rows(spark.table(third.sql)) == rows(data)
+    assert _places(spark, src) == kept
+    # A clone of a table with moved partitions, and of one that dropped some.
+    fourth = TableRef("fourth", ns)
+    assert rows(tables.clone(spark, dst, fourth)) == rows(spark.table(dst.sql))
+    assert _places(spark, fourth) == _places(spark, dst)
+
+
+def test_the_last_sharer_owns_the_files(spark, ns, data):
+    first, second, third = (TableRef(n, ns) for n in ("first", "second", "third"))
+    tables.write_table(data, first, Storage(partition_by="name"))
+    tables.clone(spark, first, second)
+    tables.clone(spark, second, third)
+    tables.drop(spark, second)
+    assert tables.sharers(spark, first) == [third]  # not alone: the clone of the clone reads its files
+    profile.rename(spark, third, TableRef("moved", ns))
+    assert [r.name for r in tables.sharers(spark, first)] == ["moved"]
+    tables.rewrite(spark.table(f"{ns}.moved"), TableRef("moved", ns))
+    assert tables.sharers(spark, first) == [] and tables.SHARED_PROPERTY not in tables.properties(spark, first)
+    before = _places(spark, first)
+    tables.append_rows(data, first)
+    assert before < _places(spark, first) and spark.table(first.sql).count() == 2 * data.count()
+
+
+@pytest.mark.parametrize("layout", [None, "p"])
+def test_columns_change_in_the_catalog(spark, ns, layout):
+    """Files stay when columns go, come or get wider; an old value never comes back."""
+    ref = TableRef("wide", ns)
+    data = spark.range(6).selectExpr(
+        "id", "cast(id as int) as n", "cast(id as float) / 4 as f", "cast(id as decimal(6,2)) as d", "id * 10 as x",
+        "id % 2 as p")
+    tables.write_table(data, ref, Storage(partition_by=layout, comment="six rows"))
+    profile.persist_docs(spark, ref, columns={"n": "a number"})
+    before = _places(spark, ref)
+    for column, kind in (("n", "bigint"), ("f", "double"), ("d", "decimal(12,4)")):
+        widen_column(spark, ref, column, kind)
+    apply_schema_change(ref, data.drop("x").select("*", F.lit("new").alias("y")).withColumns(
+        {c: F.col(c).cast(t) for c, t in (("n", "bigint"), ("f", "double"), ("d", "decimal(12,4)"))}),
+        "sync_all_columns", allow_drop=True)
+    assert _places(spark, ref) == before
+    now = spark.table(ref.sql)
+    assert dict(now.dtypes) == {"id": "bigint", "n": "bigint", "f": "double", "d": "decimal(12,4)", "y": "string", "p": "bigint"}
+    assert rows(now, "id", "n", "f", "y") == [(i, i, i / 4, None) for i in range(6)]
+    assert now.schema["n"].metadata == {"comment": "a number"} and tables.storage_of(spark, ref).comment == "six rows"
+    # New rows have values the narrow types could not hold; filters find rows of both kinds of files.
+    tables.append_rows(spark.createDataFrame([(9, 1 << 40, 1e300, "z", 1)], "id long, n long, f double, y string, p long")
+                       .withColumn("d", F.lit("12345678.1234").cast("decimal(12,4)")), ref)
+    now = spark.table(ref.sql)
+    assert now.filter("n > 4").count() == 2 and now.filter(f"n = {1 << 40}").count() == 1 and now.filter("n < 3").count() == 3
+    assert now.filter("f > 1").count() == 2 and now.filter("d >= 5").count() == 2 and now.filter("d = 4").count() == 1
+    # A column of the dropped one's name starts empty, also below filters.
+    batch = now.withColumn("x", F.lit(7).cast("bigint"))
+    apply_schema_change(ref, batch, "append_new_columns")
+    now = spark.table(ref.sql)
+    assert now.filter("x is null").count() == 7 and now.filter("x is not null").isEmpty()
+    assert tables.still_stored(spark, ref) == set()
+
+
+def test_other_changes_of_columns_rewrite(spark, ns):
+    ref, dst = TableRef("narrow", ns), TableRef("copy", ns)
+    data = spark.range(4).selectExpr("id", "cast(id as int) as k", "cast(id as string) as s")
+    tables.write_table(data, ref, Storage(clustered_by="k", buckets=2))
+    tables.clone(spark, ref, dst)
+    before = _places(spark, ref)
+    change_columns(ref, data.drop("s"))  # only this table's entry changes
+    assert spark.table(ref.sql).columns == ["id", "k"] and spark.table(dst.sql).columns == ["id", "k", "s"]
+    assert _places(spark, ref) == before and tables.sharers(spark, ref) == [dst] and tables.storage_of(spark, ref).buckets == 2
+    widen_column(spark, ref, "k", "bigint")  # rows lie in buckets by the hash of an int
+    assert not _places(spark, ref) & before and rows(spark.table(ref.sql)) == [(i, i) for i in range(4)]
+    assert tables.sharers(spark, dst) == [] and rows(spark.table(dst.sql)) == rows(data)
+    assert widens(data.schema["k"].dataType, data.schema["id"].dataType)
+    assert not widens(data.schema["id"].dataType, data.schema["k"].dataType)
