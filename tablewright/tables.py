@@ -102,6 +102,17 @@ def location(spark: SparkSession, ref: TableRef) -> str:
     return describe(spark, ref)[1]["Location"]
 
 
+def places(spark: SparkSession, ref: TableRef) -> list[str]:
+    """The directory of a table, and those of its partitions that may lie elsewhere."""
+    moved = MOVED_PROPERTY in properties(spark, ref)
+    return [location(spark, ref), *([_partition_place(spark, ref, s) for s in _specs(spark, ref)] if moved else [])]
+
+
+def version_folder(spark: SparkSession, ref: TableRef) -> str:
+    """Where the versions of a table are written."""
+    return f"{(storage_of(spark, ref).location_root or _default_root(spark, ref)).rstrip('/')}/{ref.name}"
+
+
 def partition_columns(spark: SparkSession, ref: TableRef) -> list[str]:
     return describe(spark, ref)[0]
 
