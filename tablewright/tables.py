@@ -191,10 +191,12 @@ def _publish(spark: SparkSession, staged: TableRef, ref: TableRef, storage: Stor
     """Point the table at the staged version; a table of another shape is replaced."""
     if table_kind(spark, ref) == "table" and _swaps_in(spark, staged, ref, storage):
         had = storage_of(spark, ref)
-        _release(spark, ref)
+        others = sharers(spark, ref)
         spark.sql(f"ALTER TABLE {ref.sql} SET LOCATION {sql_text(location(spark, staged))}")
         # What the table said about itself and is not said again goes, as when it is replaced under its name.
-        unset_properties(spark, ref, [k for k in had.properties if k not in storage.properties] + list(_LAYOUT_PROPERTIES))
+        unset_properties(spark, ref, [*(k for k in had.properties if k not in storage.properties), *_LAYOUT_PROPERTIES,
+                                      *map(_key, others)])
+        _release(spark, ref, others)
         if had.comment and not storage.comment:
             spark.sql(f"COMMENT ON TABLE {ref.sql} IS NULL")
         spark.sql(f"DROP TABLE {staged.sql}")  # external: the files stay
@@ -292,10 +294,10 @@ def drop(spark: SparkSession, ref: TableRef | str) -> None:
     """Drop a table or view of that name, if there is one."""
     ref = TableRef.parse(ref)
     kind = table_kind(spark, ref)
-    if kind == "table":
-        _release(spark, ref)
+    others = sharers(spark, ref) if kind == "table" else []
     if kind:
         spark.sql(f"DROP {kind.upper()} IF EXISTS {ref.sql}")
+    _release(spark, ref, others)
 
 
 # ---------------------------------------------------------------- shared files
@@ -315,10 +317,13 @@ def sharers(spark: SparkSession, ref: TableRef) -> list[TableRef]:
     return [TableRef(*json.loads(v)) for k, v in sorted(properties(spark, ref).items()) if k.startswith(SHARER_PREFIX)]
 
 
-def _release(spark: SparkSession, ref: TableRef) -> None:
-    """This table stops reading shared files; a table that is left alone with them owns them."""
-    for other in sharers(spark, ref):
-        unset_properties(spark, ref, [_key(other)])
+def _release(spark: SparkSession, ref: TableRef, others: Sequence[TableRef]) -> None:
+    """Tables no longer share files with this one, which has stopped reading them; one left alone owns them.
+
+    Marks go after the files are let go and come before they are shared: a job that dies between the two leaves
+    a table that copies without need, never one that overwrites what another reads.
+    """
+    for other in others:
         if table_kind(spark, other) == "table":
             unset_properties(spark, other, [_key(ref)])
             if not sharers(spark, other):
@@ -381,15 +386,15 @@ def clone(spark: SparkSession, src: TableRef | str, dst: TableRef | str, full_re
         return materialize_view(spark, f"SELECT * FROM {src.sql}", dst)
     require_table(spark, src)
     drop(spark, dst)
+    family = [src, *(r for r in sharers(spark, src) if table_kind(spark, r) == "table")]
+    for ref in family:
+        set_properties(spark, ref, {SHARED_PROPERTY: "true", **_named(dst)})
     spark.sql(f"CREATE TABLE {dst.sql} LIKE {src.sql} LOCATION {sql_text(location(spark, src))}")
-    _same_partitions(spark, src, dst)
     found = properties(spark, src)
-    set_properties(spark, dst, {k: found[k] for k in (MOVED_PROPERTY, DROPPED_PROPERTY) if k in found})
-    family = [src, *sharers(spark, src)]
-    for ref in family:
-        if table_kind(spark, ref) == "table":
-            set_properties(spark, ref, {SHARED_PROPERTY: "true", **_named(dst)})
-        set_properties(spark, dst, {SHARED_PROPERTY: "true", **_named(ref)})
+    set_properties(spark, dst, {
+        SHARED_PROPERTY: "true", **{k: found[k] for k in (MOVED_PROPERTY, DROPPED_PROPERTY) if k in found},
+        **{k: v for ref in family for k, v in _named(ref).items()}})
+    _same_partitions(spark, src, dst)
     return spark.table(dst.sql)
 
 
